@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from terrasieve.functions.staging import new_path
 from terrasieve.llm.exact_dedup import exact_dedup
+from terrasieve.llm.token_store import read_store, write_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-store")
+    write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_store(spark, path)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_store": op4_token_store,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
