@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrasieve.functions.staging import new_path
 from terrasieve.llm.exact_dedup import exact_dedup
+from terrasieve.llm.packing import pack
 from terrasieve.llm.token_store import read_store, write_store
 
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, size=2048)
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-store")
     write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -27,6 +32,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op4_token_store": op4_token_store,
     "op9_exact_dedup": op9_exact_dedup,
 }
