@@ -67,16 +67,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the copies, with its own columns. Where the row that stays is itself repeated, one of its repeats stays."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = F.col(names[docs.columns.index(id_col)]), F.coalesce(F.col(names[docs.columns.index(text_col)]), F.lit(""))
     decided = stage(exact_dedup(docs, id_col, text_col), "dedup-decided")
-    kept = decided.filter("kept").select(F.col("doc_id").alias("__i"), "key", "group_size")
-    held = docs.withColumn("__k", content_hash(normalised(F.coalesce(F.col(text_col), F.lit("")))))
-    held = held.join(kept, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__k") == F.col("key")), "left_semi")
-    repeated = decided.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeated = stage(repeated.select(F.col("key").alias("__rk"), F.col("doc_id").alias("__ri")), "dedup-repeats")
+    rows = decided.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays"))
+    rows = stage(rows.filter("not stays or n > 1"), "dedup-gone")
+    hashed = docs.toDF(*names).withColumn("k", content_hash(normalised(text)))
+    on = doc_id.eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))
+    held = hashed.join(broadcast_within(rows.filter("not stays").select("key", "doc_id"), BROADCAST_HASHES), on, "left_anti")
+    repeated = rows.filter("stays").select("key", "doc_id")
     if not repeated.isEmpty():
-        on = F.col(id_col).eqNullSafe(F.col("__ri")) & (F.col("__k") == F.col("__rk"))
-        most = F.struct((-F.char_length(text_col)).alias("c"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(docs.columns)])
-        one = held.join(repeated, on, "left_semi").groupBy(F.col("__k")).agg(F.min(most).alias("m"))
-        one = one.select(*[F.col(f"m.v{i}").alias(c) for i, c in enumerate(docs.columns)])
-        return held.join(repeated, on, "left_anti").select(docs.columns).unionByName(one)
-    return held.select(docs.columns)
+        repeated = broadcast_within(repeated, BROADCAST_HASHES)
+        most = F.struct((-F.char_length(text)).alias("c"), *names)
+        one = held.join(repeated, on, "left_semi").groupBy("k").agg(F.min(most).alias("m"))
+        held = held.join(repeated, on, "left_anti").select(names).unionByName(one.select(*[F.col(f"m.{c}").alias(c) for c in names]))
+    return held.select(names).toDF(*docs.columns)

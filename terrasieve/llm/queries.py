@@ -8,9 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terrasieve.functions.staging import new_path
+from terrasieve.llm.byte_bpe import round_trip
 from terrasieve.llm.exact_dedup import exact_dedup
+from terrasieve.llm.hamming import binary_codes, hamming_topk
+from terrasieve.llm.langid import identify, learn_languages
+from terrasieve.llm.minhash import near_duplicates
 from terrasieve.llm.packing import pack
+from terrasieve.llm.quality import learn_quality, score_quality
+from terrasieve.llm.sharding import balanced_shards
 from terrasieve.llm.token_store import read_store, write_store
+from terrasieve.llm.toxicity import learn_toxicity, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,23 +28,60 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, size=2048)
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"), shards=16)
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-store")
     write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_store(spark, path)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, learn_quality(docs, table(spark, sf_dir, "labels"), cut=0.3, mod=5, remainder=0), mod=5, remainder=0)
+
+
+def op6_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = binary_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", bits=64)
+    return hamming_topk(codes, codes.filter("id % 20 = 0"), k=10, bits=64)
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, learn_languages(docs, mod=4, remainder=2), mod=4, remainder=2)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, learn_toxicity(docs, table(spark, sf_dir, "labels"), mod=3, remainder=1), cut=0.7, mod=3, remainder=1)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op4_token_store": op4_token_store,
-    "op9_exact_dedup": op9_exact_dedup,
+    f.__name__: f for f in (op1_packing, op2_byte_bpe, op3_sharding, op4_token_store, op5_quality, op6_hamming_topk, op7_langid, op8_toxicity, op9_exact_dedup, op10_minhash)
 }
 
 SQL: dict[str, str] = {
+    "op6_hamming_topk": """
+        WITH c AS (SELECT vec_id AS id, list_transform(embedding, lambda v: CASE WHEN v > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings WHERE len(embedding) = 64),
+        p AS (SELECT q.id AS query_id, r.id AS id, list_sum(list_transform(list_zip(q.bits, r.bits), lambda x: CASE WHEN x[1] <> x[2] THEN 1 ELSE 0 END))::BIGINT AS distance
+              FROM c q JOIN c r ON q.id % 20 = 0 AND q.id <> r.id),
+        k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM p)
+        SELECT query_id, rank, id, distance FROM k WHERE rank <= 10
+    """,
     "op9_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
         r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS rn,
@@ -45,4 +89,15 @@ SQL: dict[str, str] = {
                      count(*) OVER (PARTITION BY norm) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM r
     """,
+    "op10_minhash": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) = 1 THEN ws
+                     ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM w),
+        n AS (SELECT w.doc_id, count(s.g) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY 1),
+        j AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM j JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+        l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        reach(doc_id, at) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM reach r JOIN l ON l.a = r.at)
+        SELECT n.doc_id, n.n AS n_shingles, min(r.at) AS component_id, n.doc_id = min(r.at) AS kept FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
+    """,
 }

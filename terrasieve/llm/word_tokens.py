@@ -34,7 +34,7 @@ class WordEncoder:
         pieces = [[t] if i in whole else t.split() for i, t in enumerate(texts)]
         if len(self.cache) > CACHED_PIECES:
             self.cache = {}
-        missing = list(set().union(*pieces) - self.cache.keys())
+        missing = [p for p in set().union(*pieces) if p not in self.cache]
         found = dict(zip(missing, self._library(missing), strict=True))
         known = self.cache
         known.update((k, v) for k, v in found.items() if len(k) <= CACHED_LENGTH)
