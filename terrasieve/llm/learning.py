@@ -43,12 +43,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 300, rate: float = 0.05, weight: np.ndarray | None = None) -> np.ndarray:
     """Weights of least mean logistic loss plus l2 / 2 * |w|^2, by Adam over all rows; deterministic."""
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1], dtype=x.dtype)
     m, v = np.zeros_like(w), np.zeros_like(w)
-    weight = np.ones(len(y)) if weight is None else weight
+    weight = (np.ones(len(y)) if weight is None else weight).astype(x.dtype)
+    y = y.astype(x.dtype)
     total = weight.sum()
     for step in range(1, steps + 1):
-        g = x.T @ (weight * (sigmoid(x @ w) - y)) / total + l2 * w
+        g = (weight * (sigmoid(x @ w) - y)) @ x / total + l2 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return w

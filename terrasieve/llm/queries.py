@@ -97,7 +97,7 @@ SQL: dict[str, str] = {
         j AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
         e AS (SELECT a, b FROM j JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
         l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-        reach(doc_id, at) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM reach r JOIN l ON l.a = r.at)
-        SELECT n.doc_id, n.n AS n_shingles, min(r.at) AS component_id, n.doc_id = min(r.at) AS kept FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
+        reach(doc_id, spot) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM reach r JOIN l ON l.a = r.spot)
+        SELECT n.doc_id, n.n AS n_shingles, min(r.spot) AS component_id, n.doc_id = min(r.spot) AS kept FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
     """,
 }

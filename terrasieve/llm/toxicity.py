@@ -38,9 +38,9 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, COMMA, STOP = range(8)
 _SEEDS = {w: s for s, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS)) for w in words}
 
 #: Rows of each label in the learning sample, terms in the lexicon, and stems' lengths.
-MOST, MOST_TERMS, STEMS = 4000, 20_000, (4, 5, 6)
+MOST, MOST_TERMS, STEMS = 6000, 20_000, (4, 5, 6)
 #: A term joins the lexicon from this log-odds on.
-LEAST_ODDS = 3.0
+LEAST_ODDS = 4.0
 #: Longest word that is looked up; longer ones are no words.
 LONGEST_WORD = 64
 
