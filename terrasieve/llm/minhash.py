@@ -2,9 +2,10 @@
 
 Each row's set of word shingles (64-bit hashes) gives ROWS * BANDS minima. ROWS minima at a time make a band's key for candidate
 generation; of every minimum the two lowest bits are kept and packed. Within a band's bucket every class of equal sets is compared with
-one pivot; classes that are linked to it need no pairs among themselves. What a bucket still holds of different components is then paired
-across them. A candidate pair must pass the sizes' ratio and the similarity that the packed bits estimate, corrected for chance
-agreement (SLACK below the threshold, over five standard deviations); then the full sets are intersected. Linked classes form components.
+one pivot; classes that are linked to it need no pairs among themselves. Such a pair must pass the sizes' ratio and the similarity that
+the packed bits estimate, corrected for chance agreement (SLACK below the threshold, over five standard deviations); then the full sets
+are intersected. Linked classes form components. Where buckets hold several components, links across them are sought among the classes
+concerned: sets that are similar enough share one of their rarest shingles, and only pairs that do are intersected.
 
 At similarity 0.8 a pair misses all 32 bands of 5 rows with probability 3e-6; no bucket, partner or candidate is capped.
 
@@ -35,6 +36,9 @@ from terrasieve.llm.columns import own_exchange, whole_text
 ROWS, BANDS, SLACK = 5, 32, 0.25
 #: Ids and buckets up to so many rows (about 30 MB) are broadcast; more are shuffled.
 BROADCAST_IDS, BROADCAST_BUCKETS = 1_000_000, 1_000_000
+#: Counters that put shingles in order of rarity (8 MB in the driver and each worker).
+PLACE_BITS = 20
+PLACES = 1 << PLACE_BITS
 #: Words whose hash a worker remembers; beyond it the cache starts anew.
 CACHED_WORDS = 1_000_000
 _RNG = np.random.default_rng(10)
@@ -143,19 +147,68 @@ def _plausible(similarity: float, a: str = "", b: str = "p_") -> Column:
     return sizes & (estimate(f"{a}bits", f"{b}bits") >= similarity - SLACK)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, ids: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set keys whose full sets are similar enough. ids: (key, id) of a row for each class."""
-    needed = stage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(ids, "key"), "minhash-needed")
+def _read_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """(key, hashes) of the full sets of needed, which has (key, id): a class and the id of a row of it. Texts are read once more."""
+    needed = stage(needed, "minhash-needed")
     wanted = broadcast_within(stage(needed.select(F.col("id").alias("i")).distinct(), "minhash-ids"), BROADCAST_IDS)
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")), "left_semi")
     sets = texts.select("text").mapInArrow(_sets(size), "key binary, hashes array<long>").groupBy("key").agg(F.first("hashes").alias("hashes"))
-    sets = stage(sets.filter(F.size("hashes") > 0), "minhash-sets")
+    return stage(sets.join(needed.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi"), "minhash-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of set keys whose full sets are similar enough."""
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a")
     both = left.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(PLACES, dtype=np.int64)
+    for b in batches:
+        h = b.column("hashes").values.to_numpy(zero_copy_only=False).view(np.uint64)
+        total += np.bincount((h >> np.uint64(64 - PLACE_BITS)).astype(np.int64), minlength=PLACES)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["place", "n"])
+
+
+def _rarest(frequency, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = frequency.value
+        for b in batches:
+            out: list[list] = [[], [], [], [], []]
+            for key, root, hashes in zip(b.column("key").to_pylist(), b.column("root").to_pylist(), b.column("hashes"), strict=True):
+                h = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                n = len(h)
+                first = np.lexsort((h, often[(h >> np.uint64(64 - PLACE_BITS)).astype(np.int64)]))[: n - -(-percent * n // 100) + 1]
+                for column, value in zip(out, ([key] * len(first), [root] * len(first), [n] * len(first), range(len(first)), h[first].view(np.int64)), strict=True):
+                    column.extend(value)
+            types = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["key", "root", "n", "place", "token"])
+
+    return run
+
+
+def _across(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different roots that may be similar enough. sets: (key, root, hashes).
+
+    In one order of all shingles, rare ones first, two sets of that similarity share a shingle among the first n - least overlap + 1 of
+    each, and behind the first that they share there must be enough left. Nothing similar enough is lost; the order, by counts in
+    PLACES hashed places, only decides how many pairs are looked at."""
+    spark = sets.sparkSession
+    counted = sets.select("hashes").mapInArrow(_frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    often = np.zeros(PLACES, dtype=np.int64)
+    often[counted["place"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
+    rarest = sets.mapInArrow(_rarest(spark.sparkContext.broadcast(often), percent), "key binary, root binary, n long, place long, token long")
+    rarest = stage(rarest, "minhash-rarest")
+    other = rarest.select(*[F.col(c).alias(f"p_{c}") for c in rarest.columns])
+    most = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))  # what the sets can still share from this shingle on
+    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("p_n"))
+    pairs = rarest.join(other, (F.col("token") == F.col("p_token")) & (F.col("root") < F.col("p_root")) & enough)
+    return pairs.select(F.col("key").alias("a"), F.col("p_key").alias("b")).distinct()
+
+
 def components(links: DataFrame, limit: int = 60) -> DataFrame:
     """(key, root): root is the least key reachable over links (a, b). Every key of links has a row. Links are contracted between rounds:
     each round joins every key to the least neighbour, then follows that pointer once more."""
@@ -193,18 +246,20 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: s
     stars = members.filter("key <> pivot").groupBy("key", "pivot").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     pivots = classes.select(F.col("key").alias("p_key"), F.col("n").alias("p_n"), F.col("bits").alias("p_bits"))
     stars = stars.join(pivots, F.hex("pivot") == F.hex("p_key")).filter(_plausible(percent / 100))
-    links = stage(_confirmed(stage(stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")), "minhash-stars"), d, ids, size, percent), "minhash-links")
+    stars = stage(stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")), "minhash-stars")
+    needed = stars.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(ids, "key")
+    links = stage(_confirmed(stars, _read_sets(d, needed, size), percent), "minhash-links")
     root = components(links)
-    # buckets that hold several components: pairs across them
-    placed = members.join(root.withColumnRenamed("key", "k"), F.hex("key") == F.hex("k"), "left").select("bucket", "key", "n", "bits", F.coalesce("root", "key").alias("root"))
-    placed = stage(placed, "minhash-placed")
+    # buckets that hold several components: links across them
+    placed = members.select("bucket", "key").join(root.withColumnRenamed("key", "k"), F.hex("key") == F.hex("k"), "left")
+    placed = stage(placed.select("bucket", "key", F.coalesce("root", "key").alias("root")), "minhash-placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    left = placed.join(mixed, "bucket", "left_semi")
-    right = left.select(*[F.col(c).alias(f"p_{c}") for c in left.columns])
-    across = left.join(right, (F.col("bucket") == F.col("p_bucket")) & (F.col("root") < F.col("p_root")) & _plausible(percent / 100))
-    across = stage(across.select(F.col("key").alias("a"), F.col("p_key").alias("b")).distinct(), "minhash-across")
+    mixed = placed.join(broadcast_within(stage(mixed, "minhash-mixed"), BROADCAST_BUCKETS), "bucket", "left_semi").select("key", "root").distinct()
+    mixed = stage(mixed, "minhash-left")
+    sets = _read_sets(d, mixed.join(ids, "key").select("key", "id"), size)
+    across = stage(_across(sets.join(mixed, "key").select("key", "root", "hashes"), percent), "minhash-across")
     if not across.isEmpty():
-        more = stage(_confirmed(across, d, ids, size, percent), "minhash-links")
+        more = stage(_confirmed(across, sets, percent), "minhash-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             root = components(links)
