@@ -12,9 +12,12 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that a worker remembers, about 100 MB; beyond it the cache starts anew. Longer pieces aren't remembered.
-CACHED_PIECES, CACHED_LENGTH = 500_000, 64
+#: Pieces and words that a worker remembers, about 150 MB; beyond it a cache starts anew. Longer pieces aren't remembered.
+CACHED_PIECES, CACHED_WORDS, CACHED_LENGTH = 500_000, 400_000, 64
+#: Words that the library encodes in one call.
+RUN = 1000
 _CONTROLS = re.compile("[\x1c-\x1f]")
+_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
 
 
 class WordEncoder:
@@ -24,10 +27,46 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            for token, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = token.endswith(suffix)
 
     def _library(self, pieces: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype=self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def _learn_words(self, words: list[str]) -> None:
+        """Words are encoded side by side; the mark at a word's end tells their ids apart."""
+        width = self.dtype.itemsize
+        for i in range(0, len(words), RUN):
+            run = words[i : i + RUN]
+            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, dtype=self.dtype)
+            at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            data = ids.tobytes()
+            cut = [data[width * a : width * b] for a, b in zip(at, at[1:], strict=False)]
+            self.words.update(zip(run, cut if len(cut) == len(run) else self._library(run), strict=True))
+
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces without white space. A word of Latin-1 letters with marks behind it is put together from both, in lower case."""
+        plain, rest = [], []
+        for p in pieces:
+            m = _PLAIN.fullmatch(p) if self.ends is not None and len(p) <= CACHED_LENGTH else None
+            if m and max(p) < "\u0100" and m[1].isalpha():
+                plain.append((p, m[1].lower(), m[2]))
+            else:
+                rest.append(p)
+        needed = {w for _, w, _ in plain} | {k for _, _, k in plain}
+        if len(self.words) > CACHED_WORDS:
+            self.words = {"": b""}
+        self._learn_words([w for w in needed if w not in self.words])
+        known = self.words
+        out = {p: known[w] + known[k] for p, w, k in plain}
+        out.update(zip(rest, self._library(rest), strict=True))
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         whole = {i for i, t in enumerate(texts) if _CONTROLS.search(t)}
@@ -35,7 +74,7 @@ class WordEncoder:
         if len(self.cache) > CACHED_PIECES:
             self.cache = {}
         missing = [p for p in set().union(*pieces) if p not in self.cache]
-        found = dict(zip(missing, self._library(missing), strict=True))
+        found = self._pieces(missing)
         known = self.cache
         known.update((k, v) for k, v in found.items() if len(k) <= CACHED_LENGTH)
         long = {k: v for k, v in found.items() if len(k) > CACHED_LENGTH}
