@@ -82,7 +82,7 @@ def compose() -> tuple[list[list[int]], list[list[int]]]:
 STEP, EMIT = compose()
 #: Without labels: base score, then the weight of clauses by kind (negated insults, negated threats, threats, insults; of each alone,
 #: reported, with a target, both), of the strongest clause, and of their share.
-DEFAULT_WEIGHTS = np.array([-3.0] + [0.2] * 4 + [0.3] * 4 + [2.0, 1.0, 3.0, 2.0] + [4.0, 2.0, 5.0, 3.0] + [0.3, 0.0])
+DEFAULT_WEIGHTS = np.array([-2.5] + [0.2] * 4 + [0.3] * 4 + [2.0, 1.0, 3.0, 2.0] + [4.0, 2.0, 5.0, 3.0] + [0.3, 0.0])
 
 _EDGES = re.compile(r"^\W+|\W+$")
 _SPLIT = re.compile(r"[\W_]+")
