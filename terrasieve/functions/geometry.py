@@ -50,7 +50,8 @@ def capsule_interval(p: tuple[Column, Column], q: tuple[Column, Column], r: tupl
     beside = _linear(ux * wy - uy * wx, vx * wy - vy * wx, -d * F.sqrt(ww), d * F.sqrt(ww))
     low, high = F.greatest(along[0], beside[0]), F.least(along[1], beside[1])
     low, high = F.when((low <= high) & (ww > 0), low), F.when((low <= high) & (ww > 0), high)
-    return F.greatest(F.lit(0.0), F.least(near_r[0], near_s[0], low)), F.least(F.lit(1.0), F.greatest(near_r[1], near_s[1], high))
+    low, high = F.least(near_r[0], near_s[0], low), F.greatest(near_r[1], near_s[1], high)  # of the pieces that aren't empty
+    return F.when(low.isNotNull(), F.greatest(F.lit(0.0), low)), F.when(high.isNotNull(), F.least(F.lit(1.0), high))
 
 
 def clip_interval(p: tuple[Column, Column], q: tuple[Column, Column], box: tuple[Column, Column, Column, Column]) -> tuple[Column, Column]:

@@ -45,7 +45,8 @@ def _intervals(source: str, mask: str) -> str:
             CASE WHEN sb * sb - a * sc >= 0 THEN (-sb - sqrt(sb * sb - a * sc)) / a END AS s0, CASE WHEN sb * sb - a * sc >= 0 THEN (-sb + sqrt(sb * sb - a * sc)) / a END AS s1,
             greatest(CASE WHEN l1 = 0 THEN CASE WHEN l0 BETWEEN 0 AND ww THEN -1e9 ELSE 1e9 END ELSE least(-l0 / l1, (ww - l0) / l1) END, CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= 3 * sqrt(ww) THEN -1e9 ELSE 1e9 END ELSE least((-3 * sqrt(ww) - c0) / c1, (3 * sqrt(ww) - c0) / c1) END) AS b0,
             least(CASE WHEN l1 = 0 THEN CASE WHEN l0 BETWEEN 0 AND ww THEN 1e9 ELSE -1e9 END ELSE greatest(-l0 / l1, (ww - l0) / l1) END, CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= 3 * sqrt(ww) THEN 1e9 ELSE -1e9 END ELSE greatest((-3 * sqrt(ww) - c0) / c1, (3 * sqrt(ww) - c0) / c1) END) AS b1 FROM k),
-        iv AS (SELECT id, greatest(0.0, least(r0, s0, CASE WHEN b0 <= b1 THEN b0 END)) AS lo, least(1.0, greatest(r1, s1, CASE WHEN b0 <= b1 THEN b1 END)) AS hi FROM t),
+        hu AS (SELECT id, least(r0, s0, CASE WHEN b0 <= b1 THEN b0 END) AS h0, greatest(r1, s1, CASE WHEN b0 <= b1 THEN b1 END) AS h1 FROM t),
+        iv AS (SELECT id, greatest(0.0, h0) AS lo, least(1.0, h1) AS hi FROM hu WHERE h0 IS NOT NULL),
         cov AS (SELECT id, lo, hi, max(hi) OVER (PARTITION BY id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rm FROM iv),
         su AS (SELECT id, sum(greatest(0, hi - greatest(lo, coalesce(rm, lo)))) AS part FROM cov GROUP BY 1),
         sp AS (SELECT x.id, sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) AS length, coalesce(part, 0) AS part FROM {source} x LEFT JOIN su ON su.id = x.id)"""
@@ -53,8 +54,8 @@ def _intervals(source: str, mask: str) -> str:
 
 _TOTALS = _intervals("p", "e") + ", tf AS (SELECT sum(length * part) AS tp, sum(length * (1 - part)) AS fp FROM sp)"
 _FN = _intervals("e", "p").replace("pair AS", "pair2 AS").replace("FROM pair)", "FROM pair2)")
-for _name in ("k", "t", "iv", "cov", "su", "sp"):
-    _FN = _FN.replace(f" {_name} AS (", f" {_name}2 AS (").replace(f"FROM {_name})", f"FROM {_name}2)").replace(f"FROM {_name} GROUP", f"FROM {_name}2 GROUP")
+for _name in ("k", "t", "hu", "iv", "cov", "su", "sp"):
+    _FN = _FN.replace(f" {_name} AS (", f" {_name}2 AS (").replace(f"FROM {_name})", f"FROM {_name}2)").replace(f"FROM {_name} GROUP", f"FROM {_name}2 GROUP").replace(f"FROM {_name} WHERE", f"FROM {_name}2 WHERE")
 _FN = _FN.replace("LEFT JOIN su ON su.id", "LEFT JOIN su2 ON su2.id")
 
 _MEANS = ", ".join(f"round(avg({c}), 4) AS {c}" for c in ("precision", "recall", "f1_score"))
