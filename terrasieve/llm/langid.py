@@ -88,10 +88,10 @@ def learn_languages(docs: DataFrame, mod: int = 4, remainder: int = 2, most: int
     priors = label_counts(rows, "lang")
     langs = sorted(priors)
     sample = stratified(rows, "lang", priors, most).select("lang", "text")
-    counts = sample.mapInArrow(_count, "lang string, h int, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")).toPandas()
+    counts = sample.mapInArrow(_count, "lang string, h int, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")).toArrow()
     table = np.full((len(langs), WIDTH), 0.5)
     at = {x: i for i, x in enumerate(langs)}
-    np.add.at(table, (counts["lang"].map(at).to_numpy(dtype=int), counts["h"].to_numpy(dtype=int)), counts["n"].to_numpy(dtype=float))
+    np.add.at(table, (np.array([at[x] for x in counts["lang"].to_pylist()], dtype=int), counts["h"].to_numpy()), counts["n"].to_numpy().astype(float))
     prior = np.array([priors[x] for x in langs], dtype=float)
     return NaiveBayes(langs, np.log(prior / prior.sum()) if langs else prior, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
 

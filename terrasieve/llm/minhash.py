@@ -40,7 +40,7 @@ BROADCAST_IDS, BROADCAST_BUCKETS = 1_000_000, 1_000_000
 PLACE_BITS = 20
 PLACES = 1 << PLACE_BITS
 #: Words whose hash a worker remembers; beyond it the cache starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 _RNG = np.random.default_rng(10)
 _A = _RNG.integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _RNG.integers(1, 1 << 63, (ROWS, BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -197,9 +197,9 @@ def _across(sets: DataFrame, percent: int) -> DataFrame:
     each, and behind the first that they share there must be enough left. Nothing similar enough is lost; the order, by counts in
     PLACES hashed places, only decides how many pairs are looked at."""
     spark = sets.sparkSession
-    counted = sets.select("hashes").mapInArrow(_frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    counted = sets.select("hashes").mapInArrow(_frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     often = np.zeros(PLACES, dtype=np.int64)
-    often[counted["place"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
+    often[counted["place"].to_numpy()] = counted["n"].to_numpy()
     rarest = sets.mapInArrow(_rarest(spark.sparkContext.broadcast(often), percent), "key binary, root binary, n long, place long, token long")
     rarest = stage(rarest, "minhash-rarest")
     other = rarest.select(*[F.col(c).alias(f"p_{c}") for c in rarest.columns])

@@ -113,7 +113,7 @@ class Grammar:
 
     def clauses(self, text: str) -> list[tuple[int, float]]:
         """(kind, weight) of each matched clause."""
-        if len(self.seen) > 500_000:
+        if len(self.seen) > 200_000:
             self.seen = {}
         seen, pieces = self.seen, text.lower().split()
         for p in [p for p in set(pieces) if p not in seen]:
