@@ -7,8 +7,12 @@ space and the vocabulary does not, go to the library whole.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from functools import lru_cache
+from itertools import pairwise
+from operator import add
 
 import numpy as np
 
@@ -17,23 +21,44 @@ CACHED_PIECES, CACHED_WORDS, CACHED_LENGTH = 500_000, 400_000, 64
 #: Words that the library encodes in one call.
 RUN = 1000
 _CONTROLS = re.compile("[\x1c-\x1f]")
-_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
+#: Marks that may stand behind a plain word.
+MARKS = ".,;:!?"
+#: Fixed value: the pattern by which the vocabulary splits lower-case text. _ASCII_SPLIT does the same for ASCII.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Byte-level vocabularies write bytes that don't print, space excepted here, as letters from U+0100 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN) if b != 32}
+
+
+def _words_alone(spec: dict) -> dict | None:
+    """The tokenizer for words that are already lower-cased, split and mapped from bytes to letters; None if its parts aren't those known."""
+    parts = lambda name, inner: (spec.get(name) or {}).get(inner) or []
+    changes, splits = parts("normalizer", "normalizers"), parts("pre_tokenizer", "pretokenizers")
+    if [x["type"] for x in changes] != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in splits] != ["Split", "ByteLevel"]:
+        return None
+    if splits[0]["pattern"].get("Regex") != SPLIT or not splits[0]["invert"] or splits[1]["use_regex"] or splits[1]["add_prefix_space"] or not spec["model"].get("end_of_word_suffix"):
+        return None
+    return {**spec, "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
 
 
 class WordEncoder:
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {"": b""}
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = None
-        if suffix:
+        with open(path, encoding="utf-8") as f:
+            alone = _words_alone(json.load(f))
+        if alone:
+            self.alone = Tokenizer.from_str(json.dumps(alone))
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             for token, i in self.tokenizer.get_vocab().items():
-                self.ends[i] = token.endswith(suffix)
+                self.ends[i] = token.endswith(alone["model"]["end_of_word_suffix"])
 
     def _library(self, pieces: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype=self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -43,27 +68,40 @@ class WordEncoder:
         width = self.dtype.itemsize
         for i in range(0, len(words), RUN):
             run = words[i : i + RUN]
-            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, dtype=self.dtype)
-            at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            joined = " ".join(run)
+            if not joined.isascii() or not joined.isprintable():
+                joined = joined.encode().decode("latin-1").translate(_LETTERS)
+            ids = np.array(self.alone.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            at = [0, *(width * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
             data = ids.tobytes()
-            cut = [data[width * a : width * b] for a, b in zip(at, at[1:], strict=False)]
-            self.words.update(zip(run, cut if len(cut) == len(run) else self._library(run), strict=True))
+            cut = [data[a:b] for a, b in pairwise(at)]
+            self.words.update(zip(run, cut, strict=True))
 
     def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces without white space. A word of Latin-1 letters with marks behind it is put together from both, in lower case."""
-        plain, rest = [], []
-        for p in pieces:
-            m = _PLAIN.fullmatch(p) if self.ends is not None and len(p) <= CACHED_LENGTH else None
-            if m and max(p) < "\u0100" and m[1].isalpha():
-                plain.append((p, m[1].lower(), m[2]))
-            else:
-                rest.append(p)
-        needed = {w for _, w, _ in plain} | {k for _, _, k in plain}
+        """Ids of pieces without white space. Words of Latin-1 letters with marks behind them, and other ASCII pieces, are put together
+        from words in lower case; what is left goes to the library."""
+        if self.ends is None:
+            return dict(zip(pieces, self._library(pieces), strict=True))
         if len(self.words) > CACHED_WORDS:
             self.words = {"": b""}
-        self._learn_words([w for w in needed if w not in self.words])
         known = self.words
-        out = {p: known[w] + known[k] for p, w, k in plain}
+        plain, words, marks, rest, mixed = [], [], [], [], {}
+        for p in pieces:
+            w = p.rstrip(MARKS)
+            if len(p) > CACHED_LENGTH or "<|" in p:  # it may hold a special token
+                rest.append(p)
+            elif w.isalpha() and (p.isascii() or max(p) < "\u0100"):
+                plain.append(p)
+                words.append(w.lower())
+                marks.append(p[len(w) :])
+            elif p.isascii() and not _CONTROLS.search(p):
+                mixed[p] = _ASCII_SPLIT.findall(p.lower())
+            else:
+                rest.append(p)
+        self._learn_words([w for w in set().union(words, marks, *mixed.values()) if w not in known])
+        get = known.__getitem__
+        out = dict(zip(plain, map(add, map(get, words), map(get, marks)), strict=True))
+        out.update((p, b"".join(map(get, w))) for p, w in mixed.items())
         out.update(zip(rest, self._library(rest), strict=True))
         return out
 
