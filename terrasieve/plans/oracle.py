@@ -120,4 +120,5 @@ SQL: dict[str, str] = {
     "q_outcome_counts": "SELECT sum((o_orderstatus = 'F')::INT)::BIGINT AS success, count(*) AS total, count(*) - sum((o_orderstatus = 'F')::INT)::BIGINT AS failed FROM orders",
     "q_union_scans": _with("c", "SELECT file_name FROM c"),
     "q_report_text": _with("mo", "SELECT name, upper(name[1:8]) AS day, replace(name, '.pth', '_analysis.png') AS plot, format('{:,.1f}', length(name) * 1234.56::DOUBLE) AS size FROM mo ORDER BY name DESC LIMIT 20"),
+    "q_gpkg_roundtrip": _with("e", "SELECT id, ax AS x0, ay AS y0, bx AS x1, by_ AS y1 FROM e"),
 }

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from terrasieve.functions import geometry as G
 from terrasieve.functions import scalars as S
+from terrasieve.functions.staging import new_path
 from terrasieve.operators import lines as L
 from terrasieve.operators import raster as R
 from terrasieve.operators import selection as C
 from terrasieve.operators.kernels import thin_chunks, trace_lines
 from terrasieve.plans import fixtures as V
+from terrasieve.sources import geopackage, wkb
 
 BUFFER, MASK_BUFFER = 3.0, 0.75
 SCALER = '{"0":{"mean":0.48,"std":0.22},"1":{"mean":0.46,"std":0.21},"2":{"mean":0.41,"std":0.2},"3":{"mean":0.5,"std":0.25}}'
@@ -281,3 +283,13 @@ def thinned_lines(spark, d):
     px = R.rasterise(V.edges(spark, d), 1.5).filter("row >= 0 and col >= 0")
     thin = thin_chunks(R.chunked(px, 64))
     return trace_lines(thin, (1.0, 0.0, 0.0, 0.0, 1.0, 0.0), least=5)
+
+
+@query
+def gpkg_roundtrip(spark, d):
+    """Edges written as lines of a GeoPackage layer and read back."""
+    geopackage.register(spark)
+    path = new_path(spark, "gpkg")
+    wkb.edge_lines(V.edges(spark, d)).write.format("gpkg").option("layer", "edges").mode("append").save(path)
+    e = wkb.edges(spark.read.format("gpkg").option("layer", "edges").load(path), "id")
+    return e.select("id", F.col("ax").alias("x0"), F.col("ay").alias("y0"), F.col("bx").alias("x1"), F.col("by").alias("y1"))
