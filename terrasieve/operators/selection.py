@@ -48,6 +48,12 @@ def latest_model(models: DataFrame, name: str = "name") -> DataFrame:
     return models.agg(F.max(F.struct(ready.alias("ready"), F.col(name).alias("name"))).alias("m")).select("m.name")
 
 
+def report_strings(models: DataFrame, name: str = "name") -> DataFrame:
+    """A row for each row of models: name, and the day, plot file and size that a report writes of it."""
+    n = F.col(name)
+    return models.select(n.alias("name"), F.upper(F.substring(n, 1, 8)).alias("day"), F.replace(n, F.lit(".pth"), F.lit("_analysis.png")).alias("plot"), F.format_number(F.length(n) * 1234.56, 1).alias("size"))
+
+
 def early_stop(history: DataFrame, patience: int, run: str = "run_id", epoch: str = "epoch", loss: str = "val_loss") -> DataFrame:
     """history up to each run's stop, with is_best and bad (epochs since the best). Only a strictly smaller loss is a new best."""
     order = Window.partitionBy(run).orderBy(epoch)

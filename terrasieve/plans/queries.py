@@ -273,8 +273,13 @@ def union_scans(spark, d):
 
 @query
 def report_text(spark, d):
-    m = V.models(spark, d).select("name").orderBy(F.desc("name")).limit(20)
-    return m.select("name", F.upper(F.substring("name", 1, 8)).alias("day"), F.replace(F.col("name"), F.lit(".pth"), F.lit("_analysis.png")).alias("plot"), F.format_number(F.length("name") * 1234.56, 1).alias("size"))
+    """The last 20 names alone, as its SQL has it; report_text_all has every row."""
+    return C.report_strings(V.models(spark, d).select("name").orderBy(F.desc("name")).limit(20))
+
+
+@query
+def report_text_all(spark, d):
+    return C.report_strings(V.models(spark, d))
 
 
 @query
