@@ -18,6 +18,7 @@ from terrasieve.plans import fixtures as V
 from terrasieve.sources import geopackage, wkb
 
 BUFFER, MASK_BUFFER = 3.0, 0.75
+CHUNK = 2048  # pixels, as in the reference
 SCALER = '{"0":{"mean":0.48,"std":0.22},"1":{"mean":0.46,"std":0.21},"2":{"mean":0.41,"std":0.2},"3":{"mean":0.5,"std":0.25}}'
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -284,10 +285,10 @@ def report_text_all(spark, d):
 
 @query
 def thinned_lines(spark, d):
-    """Threshold, thin by chunk, trace and map: the vectorising end of the prediction."""
+    """Threshold, thin by chunk, trace the whole mosaic and map: the vectorising end of the prediction."""
     px = R.rasterise(V.edges(spark, d), 1.5).filter("row >= 0 and col >= 0")
-    thin = thin_chunks(R.chunked(px, 64))
-    return trace_lines(thin, (1.0, 0.0, 0.0, 0.0, 1.0, 0.0), least=5)
+    thin = thin_chunks(R.chunked(px, CHUNK))
+    return trace_lines(thin, (1.0, 0.0, 0.0, 0.0, 1.0, 0.0), CHUNK, least=5)
 
 
 @query
