@@ -143,6 +143,23 @@ def _place():
     return run
 
 
+def _manifest(recipes: DataFrame) -> DataFrame:
+    """A row for each part of the recipes: part, first_id, n_tokens, n_docs, root, tokens_before."""
+
+    def root(order: str):
+        listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.hex("root").alias("r"))))
+        return F.unhex(F.md5(F.array_join(F.transform(listed, lambda x: x["r"]), "").cast("binary"))).alias("root")
+
+    # at most BLOCK_DOCS roots meet in a block; a part has one root for each block of its rows
+    by_part = Window.partitionBy("part", F.floor(F.col("at") / (1 << 20)).alias("reach")).orderBy("at")
+    numbered = recipes.select("part", "at", "doc_id", "n_tokens", "root", F.floor(F.col("at") / (1 << 20)).alias("reach"), F.floor((F.row_number().over(by_part) - 1) / BLOCK_DOCS).alias("block"))
+    first = F.min_by("doc_id", "at").alias("first_id")
+    blocks = numbered.groupBy("part", "reach", "block").agg(F.min("at").alias("at"), first, F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"), root("at"))
+    parts = blocks.groupBy("part").agg(F.min_by("first_id", "at").alias("first_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_docs").alias("n_docs"), root("at"))
+    before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
+    return parts.withColumn("tokens_before", F.coalesce(before, F.lit(0).cast("long")))
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append end_id, and write the store under path."""
     d = whole_text(docs, id_col, text_col)
@@ -156,21 +173,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     placed = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", F.col("chunks").cast("array<string>"))
     placed = placed.mapInArrow(_place(), f"part long, at long, doc_id {kind}, n_tokens long, chunks array<binary>, root binary")
     placed.write.option("compression", "zstd").parquet(f"{path}/recipes")
-    recipes = docs.sparkSession.read.parquet(f"{path}/recipes")
-
-    def root(order: str):
-        listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.hex("root").alias("r"))))
-        return F.unhex(F.md5(F.array_join(F.transform(listed, lambda x: x["r"]), "").cast("binary"))).alias("root")
-
-    # at most BLOCK_DOCS roots meet in a block; a part has one root for each block of its rows
-    by_part = Window.partitionBy("part", F.floor(F.col("at") / (1 << 20)).alias("reach")).orderBy("at")
-    numbered = recipes.select("part", "at", "doc_id", "n_tokens", "root", F.floor(F.col("at") / (1 << 20)).alias("reach"), F.floor((F.row_number().over(by_part) - 1) / BLOCK_DOCS).alias("block"))
-    first = F.min_by("doc_id", "at").alias("first_id")
-    blocks = numbered.groupBy("part", "reach", "block").agg(F.min("at").alias("at"), first, F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"), root("at"))
-    parts = blocks.groupBy("part").agg(F.min_by("first_id", "at").alias("first_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_docs").alias("n_docs"), root("at"))
-    before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
-    parts = parts.withColumn("tokens_before", F.coalesce(before, F.lit(0).cast("long")))
-    parts.write.option("compression", "zstd").parquet(f"{path}/manifest")
+    _manifest(docs.sparkSession.read.parquet(f"{path}/recipes")).write.option("compression", "zstd").parquet(f"{path}/manifest")
 
 
 def _check_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,14 +190,30 @@ def _join_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, crc, ok = [], [], []
         for used, root, said in zip(batch.column("used").to_pylist(), batch.column("root").to_pylist(), batch.column("said").to_pylist(), strict=True):
-            n.append(sum(x["n"] for x in used))
-            crc.append(crc32_joined([(x["crc"], 4 * x["n"]) for x in used]))
-            ok.append(all(x["intact"] for x in used) and merkle([x["chunk"] for x in used]) == root and n[-1] == said)
+            held = [x for x in used if x["n"] is not None]  # the others' chunks are missing
+            n.append(sum(x["n"] for x in held))
+            crc.append(crc32_joined([(x["crc"], 4 * x["n"]) for x in held]))
+            ok.append(len(held) == len(used) and all(x["intact"] for x in used) and merkle([x["chunk"] for x in used]) == root and n[-1] == said)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("start"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(ok, pa.bool_())], names=["doc_id", "start", "n_tokens", "ids_crc32", "verified"]
         )
 
 
+def check_manifest(spark: SparkSession, path: str) -> None:
+    """Raise if the recipes don't give the manifest's roots and counts, part by part."""
+    said = spark.read.parquet(f"{path}/manifest")
+    recipes = spark.read.schema("part long, at long, doc_id " + said.schema["first_id"].dataType.simpleString() + ", n_tokens long, root binary").parquet(f"{path}/recipes")
+    names = ("first_id", "n_tokens", "n_docs", "root", "tokens_before")
+    found = _manifest(recipes).select(F.col("part").alias("p"), *[F.col(c).alias(f"f_{c}") for c in names])
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"f_{c}"))
+    wrong = said.join(found, F.col("part") == F.col("p"), "full").filter(F.col("part").isNull() | F.col("p").isNull() | ~same)
+    parts = [r[0] for r in wrong.select(F.coalesce("part", "p").alias("part")).orderBy("part").limit(5).collect()]
+    if parts:
+        raise ValueError(f"recipes and manifest of {path} differ in part {', '.join(map(str, parts))}")
+
+
 def _recipes(spark: SparkSession, path: str) -> DataFrame:
     manifest = spark.read.parquet(f"{path}/manifest").select("part", "tokens_before")  # one row a part file
     recipes = spark.read.parquet(f"{path}/recipes").join(F.broadcast(manifest), "part")
@@ -202,20 +221,24 @@ def _recipes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32, verified (chunk hashes, Merkle root and length agree)."""
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32, verified (chunk hashes, Merkle root and length agree; false where
+    a chunk is missing). Recipes that the manifest doesn't cover, or that it covers and that are gone, raise an error."""
+    check_manifest(spark, path)
     recipes = _recipes(spark, path)
     kind = recipes.schema["doc_id"].dataType.simpleString()
     chunks = spark.read.parquet(f"{path}/chunks").select("chunk", "n", "data").mapInArrow(_check_chunks, "chunk binary, n long, crc long, intact boolean")
-    uses = recipes.select("start", "doc_id", F.col("n_tokens").alias("said"), "root", F.posexplode("chunks").alias("seq", "chunk")).join(chunks, "chunk")
+    uses = recipes.select("start", "doc_id", F.col("n_tokens").alias("said"), "root", F.posexplode("chunks").alias("seq", "chunk")).join(chunks, "chunk", "left")
     listed = F.array_sort(F.collect_list(F.struct("seq", "chunk", "n", "crc", "intact"))).alias("used")
     by_doc = uses.groupBy("start").agg(F.first("doc_id").alias("doc_id"), F.first("said").alias("said"), F.first("root").alias("root"), listed)
     return by_doc.mapInArrow(_join_chunks, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, verified boolean")
 
 
 def restore(spark: SparkSession, path: str) -> DataFrame:
-    """Per document: doc_id, start and its ids, chunk after chunk."""
+    """Per document: doc_id, start and its ids, chunk after chunk. A missing chunk, or recipes unlike the manifest, raise an error."""
+    check_manifest(spark, path)
     chunks = spark.read.parquet(f"{path}/chunks").select("chunk", "n", "data")
-    uses = _recipes(spark, path).select("start", "doc_id", F.posexplode("chunks").alias("seq", "chunk")).join(chunks, "chunk")
+    uses = _recipes(spark, path).select("start", "doc_id", F.posexplode("chunks").alias("seq", "chunk")).join(chunks, "chunk", "left")
+    uses = uses.withColumn("data", F.when(F.col("data").isNull(), F.raise_error(F.lit("the store lacks a chunk"))).otherwise(F.col("data")))
     by_doc = uses.groupBy("start").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("seq", "n", "data"))).alias("used"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -54,3 +56,29 @@ def test_round_trip(spark, tmp_path, rows):
         at += len(ids)
     chunks = spark.read.parquet(f"{path}/chunks")
     assert chunks.count() == chunks.select("chunk").distinct().count()
+
+
+def test_damage_is_seen(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"Text {i}. " * 400) for i in range(6)], "doc_id long, text string").repartition(2)
+    recipes = lambda p: sorted((tmp_path / p / "recipes").glob("*.parquet"), key=lambda f: f.stat().st_size)
+    for name in ("lost", "emptied", "chunks"):
+        ts.write_store(docs, str(tmp_path / name), PATH)
+        assert all(r.verified for r in ts.read_store(spark, str(tmp_path / name)).collect())
+    recipes("lost")[-1].unlink()
+    part = recipes("emptied")[-1]
+    pq.write_table(pq.read_table(part).slice(0, 0), part)
+    (part.parent / f".{part.name}.crc").unlink()
+    for name in ("lost", "emptied"):
+        with pytest.raises(ValueError, match="manifest"):
+            ts.read_store(spark, str(tmp_path / name)).collect()
+        with pytest.raises(ValueError, match="manifest"):
+            ts.restore(spark, str(tmp_path / name)).collect()
+    gone = spark.read.parquet(f"{tmp_path}/chunks/recipes").filter("doc_id = 3").first().chunks
+    for f in (tmp_path / "chunks" / "chunks").glob("*.parquet"):
+        t = pq.read_table(f)
+        pq.write_table(t.filter(pa.array([c not in set(map(bytes, gone)) for c in t.column("chunk").to_pylist()], pa.bool_())), f)
+        (f.parent / f".{f.name}.crc").unlink()
+    got = {r.doc_id: r for r in ts.read_store(spark, f"{tmp_path}/chunks").collect()}
+    assert len(got) == 6 and not got[3].verified and got[3].n_tokens == 0
+    with pytest.raises(Exception, match="lacks a chunk"):
+        ts.restore(spark, f"{tmp_path}/chunks").collect()
