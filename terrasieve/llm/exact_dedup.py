@@ -65,14 +65,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "key")
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the copies, with its own columns. Where the row that stays is itself repeated, one of its repeats stays."""
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
+    """docs without the copies, with its own columns. Where the row that stays is itself repeated, one of its repeats stays. Rows are matched
+    by the SHA-256 of the normalised text, which also tells texts of one hash apart."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     doc_id, text = F.col(names[docs.columns.index(id_col)]), F.coalesce(F.col(names[docs.columns.index(text_col)]), F.lit(""))
-    decided = stage(exact_dedup(docs, id_col, text_col), "dedup-decided")
+    decided = stage(exact_dedup(docs, id_col, text_col, hash_of), "dedup-decided")
+    decided = decided.select(F.unhex("text_sha256").alias("key"), "doc_id", "kept")
     rows = decided.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays"))
     rows = stage(rows.filter("not stays or n > 1"), "dedup-gone")
-    hashed = docs.toDF(*names).withColumn("k", content_hash(normalised(text)))
+    hashed = docs.toDF(*names).withColumn("k", F.unhex(F.sha2(normalised(text).cast("binary"), 256)))
     on = doc_id.eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))
     held = hashed.join(broadcast_within(rows.filter("not stays").select("key", "doc_id"), BROADCAST_HASHES), on, "left_anti")
     repeated = rows.filter("stays").select("key", "doc_id")

@@ -35,3 +35,9 @@ def test_drop_copies_keeps_one_row_each(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in got.collect()) == sorted((k or 0) for k, _ in brute(ROWS).values())
     assert drop_copies(docs.limit(0)).count() == 0
+
+
+def test_drop_copies_when_all_hashes_collide(spark):
+    docs = spark.createDataFrame(ROWS, SCHEMA)
+    got = drop_copies(docs, hash_of=lambda c: F.unhex(F.lit("00")))
+    assert sorted((r.doc_id or 0) for r in got.collect()) == sorted((k or 0) for k, _ in brute(ROWS).values())
