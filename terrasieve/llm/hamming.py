@@ -8,7 +8,7 @@ Defined results: rows whose vector is null, or has a null or a length unlike `bi
 k other rows give fewer results. A query doesn't find rows with its own id; rows with one id are found once, at their least distance.
 An empty table gives no rows. Extra columns are not read.
 
-Plan: codes (16 bytes a row) are packed into blocks of rows and blocks of queries of fixed size. A block of rows builds its tables once
+Plan: codes (16 bytes a row), one of each repeat, are packed into blocks of rows and blocks of queries of fixed size. A block of rows builds its tables once
 for each block of queries and gives k rows a query; Spark merges them by query. The work is queries times row blocks, whatever the keys.
 """
 
@@ -94,7 +94,8 @@ class Block:
 
 def hamming_topk(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) -> DataFrame:
     """rows, queries: (id, code). Per query: query_id, rank (from 1), id, distance."""
-    rows, queries = stage(rows, "hamming-rows"), stage(queries, "hamming-queries")
+    # repeats of one (id, code) would all be dealt to one block; an id is found once however often it stands there
+    rows, queries = stage(rows.dropDuplicates(["id", "code"]), "hamming-rows"), stage(queries.dropDuplicates(["id", "code"]), "hamming-queries")
 
     def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
         n = max(1, -(-df.count() // size))
