@@ -56,9 +56,14 @@ def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("pred_result", F.get(F.array(F.lit("TP"), F.lit("FP"), F.lit("FN")), (F.col("id") % 3).cast("int")))
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, pixels (8 x 8, row-major)."""
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("pixels"))
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """vec_id, pixels (8 x 8, row-major), mask (the next vector's components above 0)."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("pixels"))
+    """vec_id, pixels, mask (the next vector's components above 0); a vector without a next one has no mask and no row."""
+    e = vectors(spark, sf_dir)
     after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.transform("pixels", lambda v: (v > 0).cast("int")).alias("mask"))
     return e.join(after, "vec_id")
 

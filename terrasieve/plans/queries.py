@@ -172,7 +172,16 @@ def downscale(spark, d):
 
 @query
 def upsample_band(spark, d):
-    u = R.upsample(V.images(spark, d).select("vec_id", "pixels"), 8, 8, 2)
+    return _upsampled(V.images(spark, d))
+
+
+@query
+def upsample_band_all(spark, d):
+    return _upsampled(V.vectors(spark, d))
+
+
+def _upsampled(images: DataFrame) -> DataFrame:
+    u = R.upsample(images.select("vec_id", "pixels"), 8, 8, 2)
     return u.groupBy("vec_id").agg(F.round(F.sum("value"), 4).alias("total"), F.round(F.max("value"), 6).alias("top"), F.count(F.lit(1)).alias("n"))
 
 
@@ -202,7 +211,16 @@ def scaler(spark, d):
 
 @query
 def display_scale(spark, d):
-    p = V.images(spark, d).select("vec_id", "pixels", F.array_min("pixels").alias("lo"), F.array_max("pixels").alias("hi"))
+    return _displayed(V.images(spark, d))
+
+
+@query
+def display_scale_all(spark, d):
+    return _displayed(V.vectors(spark, d))
+
+
+def _displayed(images: DataFrame) -> DataFrame:
+    p = images.select("vec_id", "pixels", F.array_min("pixels").alias("lo"), F.array_max("pixels").alias("hi"))
     n = F.transform("pixels", lambda v: (v - F.col("lo")) / (F.col("hi") - F.col("lo") + 1e-8))
     return p.select("vec_id", F.round(F.aggregate(n, F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 

@@ -23,3 +23,16 @@ def test_report_text_of_every_model(spark):
         SELECT name, upper(name[1:8]) AS day, replace(name, '.pth', '_analysis.png') AS plot, format('{{:,.1f}}', length(name) * 1234.56::DOUBLE) AS size FROM m""",
     )
     assert n == spark.read.parquet(f"{SF}/orders.parquet").count() > 20
+
+
+def test_every_vector(spark):
+    n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    px = f"SELECT vec_id, embedding::DOUBLE[] AS px FROM '{SF}/embeddings.parquet'"
+    scaled = "round(list_sum(list_transform(px, lambda v: (v - list_min(px)) / (list_max(px) - list_min(px) + 1e-8))), 5)"
+    assert held_against(spark, "q_display_scale_all", f"SELECT vec_id, {scaled} AS total FROM ({px})") == n
+    got = {r.vec_id: r for r in QUERIES["q_upsample_band_all"](spark, SF).collect()}
+    old = QUERIES["q_upsample_band"](spark, SF).collect()
+    assert len(got) == n == len(old) + 1 and all(got[r.vec_id] == r for r in old)
+    # weights of a clamped bilinear grid twice as fine sum to 4 at every pixel
+    for vec_id, total in duckdb.sql(f"SELECT vec_id, 4 * list_sum(px) FROM ({px})").fetchall():
+        assert abs(got[vec_id].total - total) < 2e-4
