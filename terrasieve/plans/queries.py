@@ -246,6 +246,12 @@ def ratio_split(spark, d):
     return C.ratio_split(V.chips(spark, d).select("file_name"), "file_name").select("file_name", "split")
 
 
+@query
+def ratio_split_kept(spark, d):
+    """The split of the chips that aren't flagged as background only, as the reference has it by default."""
+    return C.ratio_split(_flagged(spark, d).filter("keep").select("file_name"), "file_name").select("file_name", "split")
+
+
 @query
 def sample_n(spark, d):
     return C.sample_rows(V.chips(spark, d).select("file_name"), "file_name", 6, 7)

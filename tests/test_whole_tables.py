@@ -36,3 +36,12 @@ def test_every_vector(spark):
     # weights of a clamped bilinear grid twice as fine sum to 4 at every pixel
     for vec_id, total in duckdb.sql(f"SELECT vec_id, 4 * list_sum(px) FROM ({px})").fetchall():
         assert abs(got[vec_id].total - total) < 2e-4
+
+
+def test_split_of_kept_chips(spark):
+    kept = {r.file_name for r in QUERIES["q_bg_filter"](spark, SF).collect()}
+    rows = QUERIES["q_ratio_split_kept"](spark, SF).collect()
+    n = len(kept)
+    sizes = [sum(r.split == s for r in rows) for s in ("train", "val", "test")]
+    assert {r.file_name for r in rows} == kept and len(rows) == n < 45
+    assert sizes[:2] == [int(n * 0.7 + 1e-9), int(n * 0.2 + 1e-9)] and sum(sizes) == n
