@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, TimestampType
+
+#: Bytes of a column's value; strings and binaries are measured. A row of a broadcast table takes ROW_BYTES besides.
+_WIDTHS = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4, LongType: 8, DoubleType: 8, TimestampType: 8}
+ROW_BYTES = 24
+#: MB of a table that may be broadcast.
+BROADCAST_MB = 24.0
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset and Spark is one local process (tests), a
+    temporary folder; on a cluster ValueError, as other machines wouldn't see that one."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="terrasieve-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -22,19 +33,47 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/terrasieve/{name}-{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, which knows every store that Spark can read."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends there, lost executors cost no recomputation."""
+    """Write df as Parquet to the shared folder and read it back: lineage ends there, lost executors cost no recomputation. The table is
+    deleted by drop(), or else when the driver's JVM ends."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files, where = _files(spark, path)
+    files.deleteOnExit(where)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._staged_at = path
+    return held
+
+
+def drop(*staged: DataFrame) -> None:
+    """Delete tables that stage() wrote; no later plan may read them."""
+    for df in staged:
+        files, where = _files(df.sparkSession, df._staged_at)
+        files.delete(where, True)
 
 
-def within(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most so many rows; it looks at no more than rows + 1."""
-    return df.limit(rows + 1).count() <= rows
+def size_mb(df: DataFrame) -> float:
+    """MB of df's rows in memory: counts and summed lengths of each task meet, no rows do. Over a Parquet table it reads footers, and columns
+    of texts or binaries only."""
+    width, measured = ROW_BYTES, F.lit(0)
+    for field in df.schema.fields:
+        if type(field.dataType) in (StringType, BinaryType):
+            measured = measured + F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
+        elif type(field.dataType) in _WIDTHS:
+            width += _WIDTHS[type(field.dataType)]
+        else:
+            raise TypeError(f"no width is known for {field.dataType.simpleString()}")
+    n, more = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(measured), F.lit(0))).first()
+    return (n * width + more) / 1e6
 
 
-def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
-    """A broadcast hint if df has at most so many rows; otherwise df, and Spark shuffles."""
-    return F.broadcast(df) if within(df, rows) else df
+def broadcast_within(df: DataFrame, mb: float = BROADCAST_MB) -> DataFrame:
+    """A broadcast hint if df, a table that is written, has at most so many MB; otherwise df, and Spark shuffles."""
+    return F.broadcast(df) if size_mb(df) <= mb else df
