@@ -17,7 +17,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 
 from terrasieve.llm.columns import whole_text
 from terrasieve.llm.word_tokens import slices
+from terrasieve.llm.worker_memory import one_of
 
 #: Chunks and pairs that a worker remembers; beyond it the caches start anew. Longer chunks aren't remembered.
 CACHED_CHUNKS, CACHED_LENGTH, CACHED_PAIRS = 700_000, 48, 500_000
@@ -153,10 +153,9 @@ class ByteBpe:
         return b"".join(map(self.data.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
-    """One encoder for each worker process and vocabulary."""
-    return ByteBpe(path, pattern)
+    """One encoder for each worker process."""
+    return one_of(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_ids(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

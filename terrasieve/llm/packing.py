@@ -6,8 +6,10 @@ document's end (free), at a sentence's end (small penalty) or, where boundaries
 power of two. best[j] = min over i of best[i] + cost(i, j): for the padding term the least best[i] + position[i] within reach is the
 head of a monotone queue, and windows of a power of two are single look-ups. Each boundary enters and leaves the queue once.
 
-Streams are cut where the dynamic programme has fixed its windows, so memory holds one segment and one document. What is left at a
-task's end is cut into powers of two, which need no padding.
+Streams are solved segment by segment, so memory holds one segment and one document. A segment's cuts are least-cost for what it holds;
+those in its last two windows' length are dropped and solved again with the next segment, as later documents may change them. So the
+whole is not proven least-cost across segments, only each segment is. What is left at a task's end is cut into powers of two, which
+need no padding.
 
 Defined results: null text counts as empty and gives the end id alone. Rows with one doc_id are documents of their own, by text order.
 An empty table gives no rows. Extra columns are not read. Sequence ids are task number * 2^40 + number within the task.
