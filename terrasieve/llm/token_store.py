@@ -11,10 +11,12 @@ Folders under the store's path, all Parquet: chunks (chunk, n, data), recipes (p
 Defined results: null text counts as empty and gives the end id alone. Rows with one doc_id each keep their own recipe. Null ids come
 first. An empty table gives an empty store. Extra columns are not read.
 
-Plan: one pass over the texts writes recipes and chunk bytes to a staged table. Chunk bytes are shuffled once to keep one of each
-(pre-aggregated in each task); recipes, about 60 bytes a document, are shuffled once by id range. Reading back, each stored chunk is
+Plan: one pass over the texts writes recipes and chunk bytes to a staged table. Chunks are counted by hash (pre-aggregated in each task);
+of those used more than once the first use is kept, found by a broadcast join, or beyond its size by a shuffle of the bytes.
+Recipes, about 60 bytes a document, are shuffled once by id range. Reading back, each stored chunk is
 read once, its hash recomputed; only its checksum travels to the recipes, where checksums of chunks are joined to a document's by
-crc32 arithmetic. A chunk that a third of all recipes use is thus one stored row and short rows of a join that Spark can split.
+crc32 arithmetic. A chunk that a third of all recipes use is thus one stored row and short rows of a join that Spark can split. Every read
+recomputes the tree of each part from its recipes and compares it with the manifest.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrasieve.functions.staging import stage
+from terrasieve.functions.staging import broadcast_within, drop, stage
 from terrasieve.llm.columns import whole_text
 from terrasieve.llm.word_tokens import slices, word_encoder
 
@@ -107,8 +109,12 @@ def crc32_joined(parts: list[tuple[int, int]]) -> int:
 
 
 def _encode(tokenizer: str, end_id: int | None):
+    """(row, doc_id, n_tokens, chunks, ns, data) of each text; row is unique. Bytes stand with a chunk's first use in a document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
+        from pyspark import TaskContext
+
+        encoder, row = word_encoder(tokenizer), TaskContext.get().partitionId() << 36
         tail = np.array([] if end_id is None else [end_id], dtype=encoder.dtype)
         for batch in batches:
             for doc_ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -117,10 +123,16 @@ def _encode(tokenizer: str, end_id: int | None):
                     ids = np.concatenate([ids, tail])
                     ends = cuts(ids)
                     data = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
-                    for column, value in zip(rows, (doc_id, len(ids), [chunk_hash(x) for x in data], np.diff([0, *ends]).tolist(), data), strict=True):
+                    chunks = [chunk_hash(x) for x in data]
+                    if len(set(chunks)) < len(chunks):
+                        first = {c: i for i, c in reversed(list(enumerate(chunks)))}
+                        data = [x if first[c] == i else None for i, (c, x) in enumerate(zip(chunks, data, strict=True))]
+                    for column, value in zip(rows, (doc_id, len(ids), chunks, np.diff([0, *ends]).tolist(), data), strict=True):
                         column.append(value)
                 types = (batch.schema.field(0).type, pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["doc_id", "n_tokens", "chunks", "ns", "data"])
+                numbers = pa.array(range(row, row + len(doc_ids)), pa.int64())
+                row += len(doc_ids)
+                yield pa.RecordBatch.from_arrays([numbers, *[pa.array(c, t) for c, t in zip(rows, types, strict=True)]], names=["row", "doc_id", "n_tokens", "chunks", "ns", "data"])
 
     return run
 
@@ -143,19 +155,29 @@ def _place():
     return run
 
 
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The root over each row's listed roots, as the last column."""
+    for batch in batches:
+        roots = [merkle([x["root"] for x in listed]) for listed in batch.column("listed").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(roots, pa.binary())], names=[*batch.schema.names[:-1], "root"])
+
+
 def _manifest(recipes: DataFrame) -> DataFrame:
     """A row for each part of the recipes: part, first_id, n_tokens, n_docs, root, tokens_before."""
+    kind = recipes.schema["doc_id"].dataType.simpleString()
 
-    def root(order: str):
-        listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.hex("root").alias("r"))))
-        return F.unhex(F.md5(F.array_join(F.transform(listed, lambda x: x["r"]), "").cast("binary"))).alias("root")
+    def joined(rows: DataFrame, by: list[str], first: str, docs) -> DataFrame:
+        listed = F.array_sort(F.collect_list(F.struct("at", "root"))).alias("listed")
+        rows = rows.groupBy(*by).agg(F.min("at").alias("at"), F.min_by(first, "at").alias("first_id"), F.sum("n_tokens").alias("n_tokens"), docs.alias("n_docs"), listed)
+        return rows.mapInArrow(_trees, ", ".join(f"{c} long" for c in by) + f", at long, first_id {kind}, n_tokens long, n_docs long, root binary")
 
     # at most BLOCK_DOCS roots meet in a block; a part has one root for each block of its rows
-    by_part = Window.partitionBy("part", F.floor(F.col("at") / (1 << 20)).alias("reach")).orderBy("at")
-    numbered = recipes.select("part", "at", "doc_id", "n_tokens", "root", F.floor(F.col("at") / (1 << 20)).alias("reach"), F.floor((F.row_number().over(by_part) - 1) / BLOCK_DOCS).alias("block"))
-    first = F.min_by("doc_id", "at").alias("first_id")
-    blocks = numbered.groupBy("part", "reach", "block").agg(F.min("at").alias("at"), first, F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"), root("at"))
-    parts = blocks.groupBy("part").agg(F.min_by("first_id", "at").alias("first_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_docs").alias("n_docs"), root("at"))
+    reach = F.floor(F.col("at") / (1 << 20)).alias("reach")
+    by_reach = Window.partitionBy("part", "reach").orderBy("at")
+    rows = recipes.select("part", "at", "doc_id", "n_tokens", "root", reach)
+    rows = rows.withColumn("block", F.floor((F.row_number().over(by_reach) - 1) / BLOCK_DOCS))
+    blocks = joined(rows, ["part", "reach", "block"], "doc_id", F.count(F.lit(1)))
+    parts = joined(blocks, ["part"], "first_id", F.sum("n_docs")).drop("at")
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
     return parts.withColumn("tokens_before", F.coalesce(before, F.lit(0).cast("long")))
 
@@ -164,15 +186,18 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     """Encode every text, append end_id, and write the store under path."""
     d = whole_text(docs, id_col, text_col)
     kind = d.schema["doc_id"].dataType.simpleString()
-    encoded = d.mapInArrow(_encode(tokenizer, end_id), f"doc_id {kind}, n_tokens long, chunks array<binary>, ns array<int>, data array<binary>")
+    encoded = d.mapInArrow(_encode(tokenizer, end_id), f"row long, doc_id {kind}, n_tokens long, chunks array<binary>, ns array<int>, data array<binary>")
     encoded = stage(encoded.filter("n_tokens > 0"), "store-encoded")
-    each = encoded.select(F.explode(F.arrays_zip("chunks", "ns", "data")).alias("c")).select("c.chunks", "c.ns", "c.data")
-    once = each.groupBy(F.col("chunks").alias("chunk")).agg(F.first("ns").alias("n"), F.first("data").alias("data"))
-    once.write.option("compression", "zstd").parquet(f"{path}/chunks")
+    uses = encoded.select("row", F.explode("chunks").alias("chunk")).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    several = stage(uses.filter("n > 1").select(F.col("chunk").alias("several"), "first"), "store-several")
+    each = encoded.select("row", F.explode(F.arrays_zip("chunks", "ns", "data")).alias("c")).filter("c.data is not null").select("row", F.col("c.chunks").alias("chunk"), F.col("c.ns").alias("n"), "c.data")
+    once = each.join(broadcast_within(several), F.col("chunk") == F.col("several"), "left").filter("several is null or row = first")
+    once.select("chunk", "n", "data").write.option("compression", "zstd").parquet(f"{path}/chunks")
     ordered = encoded.select("doc_id", "n_tokens", "chunks").repartitionByRange(F.col("doc_id").asc_nulls_first())
     placed = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", F.col("chunks").cast("array<string>"))
     placed = placed.mapInArrow(_place(), f"part long, at long, doc_id {kind}, n_tokens long, chunks array<binary>, root binary")
     placed.write.option("compression", "zstd").parquet(f"{path}/recipes")
+    drop(encoded, several)
     _manifest(docs.sparkSession.read.parquet(f"{path}/recipes")).write.option("compression", "zstd").parquet(f"{path}/manifest")
 
 
