@@ -18,12 +18,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasieve.functions.staging import broadcast_within, stage
+from terrasieve.functions.staging import broadcast_within, drop, stage
 from terrasieve.llm.columns import ASCII_SPACE, own_exchange, whole_text
 
-#: A set of hashes up to this many rows (about 32 MB) is broadcast when texts are compared; a larger one is shuffled.
-BROADCAST_HASHES = 1_000_000
-
 
 def content_hash(text: Column) -> Column:
     """128 bits of the normalised text."""
@@ -52,11 +49,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = d.select("doc_id", F.char_length("text").alias("chars"), hash_of(F.col("norm")).alias("key"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
     rows = stage(hashed, "dedup-rows")
     several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    several = broadcast_within(stage(several, "dedup-several"), BROADCAST_HASHES)
-    texts = d.select(hash_of(F.col("norm")).alias("key"), "norm").join(several, "key", "left_semi")
+    several = stage(several, "dedup-several")
+    texts = d.select(hash_of(F.col("norm")).alias("key"), "norm").join(broadcast_within(several), "key", "left_semi")
     clash = texts.groupBy("key").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).filter("a <> b").select("key")
     clash = stage(clash, "dedup-clash")
+    drop(several)
     if clash.isEmpty():
+        drop(clash)
         out = _keep(rows)
     else:  # different texts under one 128-bit hash: there SHA-256 of the text joins the key
         both = F.unhex(F.md5(F.concat(F.hex("key"), F.col("sha")).cast("binary")))
@@ -76,10 +75,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = stage(rows.filter("not stays or n > 1"), "dedup-gone")
     hashed = docs.toDF(*names).withColumn("k", F.unhex(F.sha2(normalised(text).cast("binary"), 256)))
     on = doc_id.eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))
-    held = hashed.join(broadcast_within(rows.filter("not stays").select("key", "doc_id"), BROADCAST_HASHES), on, "left_anti")
+    held = hashed.join(broadcast_within(rows.filter("not stays").select("key", "doc_id")), on, "left_anti")
     repeated = rows.filter("stays").select("key", "doc_id")
     if not repeated.isEmpty():
-        repeated = broadcast_within(repeated, BROADCAST_HASHES)
+        repeated = broadcast_within(repeated)
         most = F.struct((-F.char_length(text)).alias("c"), *names)
         one = held.join(repeated, on, "left_semi").groupBy("k").agg(F.min(most).alias("m"))
         held = held.join(repeated, on, "left_anti").select(names).unionByName(one.select(*[F.col(f"m.{c}").alias(c) for c in names]))

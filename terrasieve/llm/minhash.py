@@ -14,70 +14,54 @@ empty text and text without words have an empty set and are linked with nothing:
 are one class, so repeated rows cost one comparison; null ids never name a component unless all its ids are null. Of several rows with
 the id that stays, all are marked kept. Extra columns are not read.
 
-Plan: texts are read once for signatures (about 400 bytes a row, no texts or sets), once more for the rows that are in a candidate pair.
-Links and components stay in Spark; label rounds run on tables written to the shared folder.
+Plan: texts are read once for signatures (about 400 bytes a row, no texts or sets), twice more for rows that are in a candidate pair. Classes go by
+a number of 8 bytes from then on. Links and components stay in Spark; label rounds run on tables written to the shared folder, which are
+deleted as soon as the decisions are written.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasieve.functions.staging import broadcast_within, stage
-from terrasieve.llm.columns import own_exchange, whole_text
+from terrasieve.functions.staging import broadcast_within, drop, stage
+from terrasieve.llm.byte_runs import scramble, word_hashes
+from terrasieve.llm.columns import whole_text
+from terrasieve.llm.word_tokens import slices
+from terrasieve.llm.worker_memory import make_room
 
 ROWS, BANDS, SLACK = 5, 32, 0.25
-#: Ids and buckets up to so many rows (about 30 MB) are broadcast; more are shuffled.
-BROADCAST_IDS, BROADCAST_BUCKETS = 1_000_000, 1_000_000
 #: Counters that put shingles in order of rarity (8 MB in the driver and each worker).
 PLACE_BITS = 20
 PLACES = 1 << PLACE_BITS
-#: Words whose hash a worker remembers; beyond it the cache starts anew.
-CACHED_WORDS = 300_000
 _RNG = np.random.default_rng(10)
 _A = _RNG.integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _RNG.integers(1, 1 << 63, (ROWS, BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
+def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's word shingles."""
+    hashes, at = word_hashes(texts)
+    sets = []
+    for h in np.split(hashes, at[1:-1]):
+        n = min(size, len(h))
+        total = h[: len(h) - n + 1].copy()
+        for i in range(1, n):
+            total = scramble(total + _PLACE) + h[i : len(h) - n + 1 + i]
+        sets.append(np.unique(scramble(total + np.uint64(n))) if n else h)
+    return sets
 
 
-@lru_cache(maxsize=1)
-def _words() -> _Words:
-    return _Words()
-
-
-def _scramble(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(29))
-
-
-def shingles(text: str, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(_words().__getitem__, words), dtype=np.uint64, count=len(words))
-    n = min(size, len(h))
-    total = h[: len(h) - n + 1].copy()
-    for i in range(1, n):
-        total = _scramble(total + _PLACE) + h[i : len(h) - n + 1 + i]
-    return np.unique(_scramble(total + np.uint64(n)))
+def set_key(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set that isn't empty, as two numbers."""
+    data = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+    return int.from_bytes(data[:8], "little", signed=True), int.from_bytes(data[8:], "little", signed=True)
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
@@ -91,40 +75,46 @@ def minima(hashes: np.ndarray) -> np.ndarray:
 
 def bands(least: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band; the band's number is in it."""
-    total = (_scramble(least.reshape(ROWS, BANDS)) * _MIX).sum(axis=0, dtype=np.uint64)
-    return _scramble(total + np.arange(BANDS, dtype=np.uint64))
+    total = (scramble(least.reshape(ROWS, BANDS)) * _MIX).sum(axis=0, dtype=np.uint64)
+    return scramble(total + np.arange(BANDS, dtype=np.uint64))
 
 
 def packed(least: np.ndarray) -> np.ndarray:
     """Two low bits of each scrambled minimum, 32 of them in a 64-bit number."""
-    low = (_scramble(least) & np.uint64(3)).reshape(-1, 32)
+    low = (scramble(least) & np.uint64(3)).reshape(-1, 32)
     return (low << (np.uint64(2) * np.arange(32, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
 
 
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, key, band, bits = [], [], [], []
-            for text in b.column("text").to_pylist():
-                s = shingles(text, size)
-                n.append(len(s))
-                key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                least = minima(s) if len(s) else None
-                band.append(None if least is None else bands(least).view(np.int64).tolist())
-                bits.append(None if least is None else packed(least).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(band, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "n", "key", "bands", "bits"]
-            )
+        from pyspark import TaskContext
+
+        make_room("minhash")
+        row = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            for ids, texts in slices(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                sets = shingle_sets(texts, size)
+                named = [set_key(s) if len(s) else (None, None) for s in sets]
+                least = [minima(s) if len(s) else None for s in sets]
+                lists = [[None if x is None else f(x).view(np.int64) for x in least] for f in (bands, packed)]
+                columns = [pa.array(range(row, row + len(ids)), pa.int64()), pa.array(ids, batch.schema.field(0).type), pa.array([len(s) for s in sets], pa.int64())]
+                columns += [pa.array(x, pa.int64()) for x in zip(*named, strict=True)] + [pa.array(x, pa.list_(pa.int64())) for x in lists]
+                row += len(ids)
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n", "k0", "k1", "bands", "bits"])
 
     return run
 
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(t, size) for t in b.column("text").to_pylist()]
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["key", "hashes"])
+        make_room("minhash")
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for _, part in slices(texts, texts):
+                sets = [s for s in shingle_sets(part, size) if len(s)]
+                if sets:
+                    named = zip(*map(set_key, sets), strict=True)
+                    yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in named], pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["k0", "k1", "hashes"])
 
     return run
 
@@ -147,19 +137,22 @@ def _plausible(similarity: float, a: str = "", b: str = "p_") -> Column:
     return sizes & (estimate(f"{a}bits", f"{b}bits") >= similarity - SLACK)
 
 
-def _read_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """(key, hashes) of the full sets of needed, which has (key, id): a class and the id of a row of it. Texts are read once more."""
-    needed = stage(needed, "minhash-needed")
-    wanted = broadcast_within(stage(needed.select(F.col("id").alias("i")).distinct(), "minhash-ids"), BROADCAST_IDS)
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")), "left_semi")
-    sets = texts.select("text").mapInArrow(_sets(size), "key binary, hashes array<long>").groupBy("key").agg(F.first("hashes").alias("hashes"))
-    return stage(sets.join(needed.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi"), "minhash-sets")
+def _read_sets(docs: DataFrame, needed: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(c, hashes) of the full sets of the classes in needed (c). classes: (c, id, k0, k1), id of a row of it. Texts are read once more."""
+    needed = stage(needed.join(classes, "c"), "minhash-needed")
+    ids = stage(needed.select(F.col("id").alias("i")).distinct(), "minhash-ids")
+    texts = docs.join(broadcast_within(ids), F.col("doc_id").eqNullSafe(F.col("i")), "left_semi")
+    sets = texts.select("text").mapInArrow(_sets(size), "k0 long, k1 long, hashes array<long>")
+    found = sets.join(broadcast_within(needed.select("c", "k0", "k1")), ["k0", "k1"]).groupBy("c").agg(F.first("hashes").alias("hashes"))
+    found = stage(found, "minhash-sets")
+    drop(needed, ids)
+    return found
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of set keys whose full sets are similar enough."""
-    left = pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a")
-    both = left.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
+    """The pairs (a, b) of classes whose full sets are similar enough."""
+    left = pairs.join(sets.select(F.col("c").alias("a"), F.col("hashes").alias("x")), "a")
+    both = left.join(sets.select(F.col("c").alias("b"), F.col("hashes").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
 
@@ -177,21 +170,22 @@ def _rarest(frequency, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequency.value
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
-            for key, root, hashes in zip(b.column("key").to_pylist(), b.column("root").to_pylist(), b.column("hashes"), strict=True):
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for c, root, hashes in zip(b.column("c").to_pylist(), b.column("root").to_pylist(), b.column("hashes"), strict=True):
                 h = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 n = len(h)
                 first = np.lexsort((h, often[(h >> np.uint64(64 - PLACE_BITS)).astype(np.int64)]))[: n - -(-percent * n // 100) + 1]
-                for column, value in zip(out, ([key] * len(first), [root] * len(first), [n] * len(first), range(len(first)), h[first].view(np.int64)), strict=True):
-                    column.extend(value)
-            types = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["key", "root", "n", "place", "token"])
+                k = len(first)
+                for column, value in zip(out, (np.full(k, c), np.full(k, root), np.full(k, n), np.arange(k), h[first].view(np.int64)), strict=True):
+                    column.append(value)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["c", "root", "n", "place", "token"])
 
     return run
 
 
 def _across(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes of different roots that may be similar enough. sets: (key, root, hashes).
+    """Pairs (a, b) of classes of different roots that may be similar enough. sets: (c, root, hashes).
 
     In one order of all shingles, rare ones first, two sets of that similarity share a shingle among the first n - least overlap + 1 of
     each, and behind the first that they share there must be enough left. Nothing similar enough is lost; the order, by counts in
@@ -200,82 +194,90 @@ def _across(sets: DataFrame, percent: int) -> DataFrame:
     counted = sets.select("hashes").mapInArrow(_frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     often = np.zeros(PLACES, dtype=np.int64)
     often[counted["place"].to_numpy()] = counted["n"].to_numpy()
-    rarest = sets.mapInArrow(_rarest(spark.sparkContext.broadcast(often), percent), "key binary, root binary, n long, place long, token long")
+    rarest = sets.mapInArrow(_rarest(spark.sparkContext.broadcast(often), percent), "c long, root long, n long, place long, token long")
     rarest = stage(rarest, "minhash-rarest")
     other = rarest.select(*[F.col(c).alias(f"p_{c}") for c in rarest.columns])
     most = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))  # what the sets can still share from this shingle on
     enough = (100 + percent) * most >= percent * (F.col("n") + F.col("p_n"))
     pairs = rarest.join(other, (F.col("token") == F.col("p_token")) & (F.col("root") < F.col("p_root")) & enough)
-    return pairs.select(F.col("key").alias("a"), F.col("p_key").alias("b")).distinct()
+    pairs = stage(pairs.select(F.col("c").alias("a"), F.col("p_c").alias("b")).distinct(), "minhash-across")
+    drop(rarest)
+    return pairs
 
 
-def components(links: DataFrame, limit: int = 60) -> DataFrame:
-    """(key, root): root is the least key reachable over links (a, b). Every key of links has a row. Links are contracted between rounds:
-    each round joins every key to the least neighbour, then follows that pointer once more."""
+def components(links: DataFrame) -> DataFrame:
+    """(c, root): root is the least class reachable over links (a, b). Every class of links has a row. Links are contracted between
+    rounds: each round joins every class to the least neighbour, then follows that pointer once more, so classes at least halve."""
     edges = stage(links.filter("a <> b").select("a", "b"), "links")
-    label = stage(edges.select(F.explode(F.array("a", "b")).alias("key")).distinct().withColumn("root", F.col("key")), "labels")
-    for _ in range(limit):
+    label = stage(edges.select(F.explode(F.array("a", "b")).alias("c")).distinct().withColumn("root", F.col("c")), "labels")
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("k"), F.least("a", "b").alias("next"))
-        least = stage(least, "least")
+        least = stage(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("k"), F.least("a", "b").alias("next")), "least")
         jump = least.select(F.col("k").alias("k2"), F.col("next").alias("next2"))
-        up = stage(least.join(jump, F.hex("next") == F.hex("k2"), "left").select("k", F.coalesce("next2", "next").alias("next")), "up")
-        label = stage(label.join(up, F.hex("root") == F.hex("k"), "left").select("key", F.coalesce("next", "root").alias("root")), "labels")
-        moved = edges.join(up.select(F.col("k").alias("ka"), F.col("next").alias("na")), F.hex("a") == F.hex("ka"))
-        moved = moved.join(up.select(F.col("k").alias("kb"), F.col("next").alias("nb")), F.hex("b") == F.hex("kb"))
-        edges = stage(moved.filter("na <> nb").select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "links")
-        if edges.isEmpty():
-            return label
-    raise RuntimeError("components did not settle")
+        up = stage(least.join(jump, F.col("next") == F.col("k2"), "left").select("k", F.coalesce("next2", "next").alias("next")), "up")
+        moved = edges.join(up.select(F.col("k").alias("ka"), F.col("next").alias("na")), F.col("a") == F.col("ka"))
+        moved = moved.join(up.select(F.col("k").alias("kb"), F.col("next").alias("nb")), F.col("b") == F.col("kb"))
+        after = stage(moved.filter("na <> nb").select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "links")
+        named = stage(label.join(up, F.col("root") == F.col("k"), "left").select("c", F.coalesce("next", "root").alias("root")), "labels")
+        drop(edges, least, up, label)
+        edges, label = after, named
+    drop(edges)
+    return label
 
 
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept, and key (of its set, null if empty)."""
+    """Per row: doc_id, n_shingles, component_id, kept."""
     d = whole_text(docs, id_col, text_col)
     kind = d.schema["doc_id"].dataType.simpleString()
-    rows = stage(d.mapInArrow(_signatures(size), f"doc_id {kind}, n long, key binary, bands array<long>, bits array<long>"), "minhash-rows")
-    named = rows.filter(F.col("key").isNotNull())
-    classes = named.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
-    classes = stage(classes, "minhash-classes")
-    ids = classes.select("key", "id")
-    spread = classes.select("key", F.explode("bands").alias("bucket"))
-    buckets = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("pivot")).filter("size > 1").select("bucket", "pivot")
-    buckets = broadcast_within(stage(buckets, "minhash-buckets"), BROADCAST_BUCKETS)
-    members = stage(spread.join(buckets, "bucket"), "minhash-members").join(classes.select("key", "n", "bits"), "key")
-    members = stage(members.select("bucket", "key", "n", "bits", "pivot"), "minhash-members")
-    stars = members.filter("key <> pivot").groupBy("key", "pivot").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    pivots = classes.select(F.col("key").alias("p_key"), F.col("n").alias("p_n"), F.col("bits").alias("p_bits"))
-    stars = stars.join(pivots, F.hex("pivot") == F.hex("p_key")).filter(_plausible(percent / 100))
-    stars = stage(stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")), "minhash-stars")
-    needed = stars.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(ids, "key")
-    links = stage(_confirmed(stars, _read_sets(d, needed, size), percent), "minhash-links")
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        held.append(stage(df, name))
+        return held[-1]
+
+    rows = keep(d.mapInArrow(_signatures(size), f"row long, doc_id {kind}, n long, k0 long, k1 long, bands array<long>, bits array<long>"), "minhash-rows")
+    # a class: rows with equal sets. It goes by the least row number, whose row has its signature
+    classes = keep(rows.filter("k0 is not null").groupBy("k0", "k1").agg(F.min("doc_id").alias("id"), F.min("row").alias("c")), "minhash-classes")
+    signed = rows.join(broadcast_within(classes.select(F.col("c").alias("s"))), F.col("row") == F.col("s"), "left_semi")
+    signed = keep(signed.select(F.col("row").alias("c"), "n", "bands", "bits"), "minhash-signed")
+    spread = signed.select("c", F.explode("bands").alias("bucket"))
+    buckets = keep(spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("pivot")).filter("size > 1").select("bucket", "pivot"), "minhash-buckets")
+    members = keep(spread.join(broadcast_within(buckets), "bucket").select("bucket", "c", "pivot"), "minhash-members")
+    stars = members.filter("c <> pivot").select("c", "pivot").distinct().join(signed.select("c", "n", "bits"), "c")
+    pivots = signed.select(F.col("c").alias("p_c"), F.col("n").alias("p_n"), F.col("bits").alias("p_bits"))
+    stars = stars.join(pivots, F.col("pivot") == F.col("p_c")).filter(_plausible(percent / 100))
+    stars = keep(stars.select(F.col("pivot").alias("a"), F.col("c").alias("b")), "minhash-stars")
+    sets = _read_sets(d, stars.select(F.explode(F.array("a", "b")).alias("c")).distinct(), classes, size)
+    links = keep(_confirmed(stars, sets, percent), "minhash-links")
+    drop(sets)
     root = components(links)
     # buckets that hold several components: links across them
-    placed = members.select("bucket", "key").join(root.withColumnRenamed("key", "k"), F.hex("key") == F.hex("k"), "left")
-    placed = stage(placed.select("bucket", "key", F.coalesce("root", "key").alias("root")), "minhash-placed")
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    mixed = placed.join(broadcast_within(stage(mixed, "minhash-mixed"), BROADCAST_BUCKETS), "bucket", "left_semi").select("key", "root").distinct()
-    mixed = stage(mixed, "minhash-left")
-    sets = _read_sets(d, mixed.join(ids, "key").select("key", "id"), size)
-    across = stage(_across(sets.join(mixed, "key").select("key", "root", "hashes"), percent), "minhash-across")
-    if not across.isEmpty():
-        more = stage(_confirmed(across, sets, percent), "minhash-links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            root = components(links)
-    named_ids = root.join(ids, "key").withColumn("h", own_exchange(F.col("root")))
-    least = named_ids.groupBy("root").agg(F.min("id").alias("component")).select(own_exchange(F.col("root")).alias("h"), "component")
-    found = named_ids.join(least, "h").select("key", "component")
-    alone = ids.join(found, "key", "left").select(own_exchange(F.col("key")).alias("h"), F.coalesce("component", "id").alias("component"))
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "key", own_exchange(F.col("key")).alias("h")).join(alone, "h", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "key")
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "n_shingles", "component_id", "kept", "key")
+    placed = members.select("bucket", "c").join(root.select(F.col("c").alias("k"), "root"), F.col("c") == F.col("k"), "left")
+    placed = keep(placed.select("bucket", "c", F.coalesce("root", "c").alias("root")), "minhash-placed")
+    mixed = keep(placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket"), "minhash-mixed")
+    mixed = keep(placed.join(broadcast_within(mixed), "bucket", "left_semi").select("c", "root").distinct(), "minhash-left")
+    sets = _read_sets(d, mixed.select("c"), classes, size)
+    across = _across(sets.join(mixed, "c").select("c", "root", "hashes"), percent)
+    more = keep(_confirmed(across, sets, percent), "minhash-links")
+    drop(sets, across)
+    if not more.isEmpty():
+        drop(root)
+        root = components(links.unionByName(more))
+    held.append(root)
+    named = root.join(classes.select("c", "id"), "c")
+    least = keep(named.groupBy("root").agg(F.min("id").alias("component")), "minhash-least")
+    found = classes.join(root.join(least, "root").select("c", "component"), "c", "left").select("k0", "k1", F.coalesce("component", "id").alias("component"))
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "k0", "k1").join(found, ["k0", "k1"], "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = stage(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "minhash-decided")
+    drop(*held)
+    return out
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group, with its own columns: the row of the least id. Rows with an empty set all stay. Rows that
     share an id stay together if one of them stays."""
     decided = near_duplicates(docs, size, percent, id_col, text_col).groupBy(F.col("doc_id").alias("i")).agg(F.max("kept").alias("stays"))
-    gone = broadcast_within(stage(decided.filter(~F.col("stays")).select("i"), "minhash-gone"), BROADCAST_IDS)
+    gone = broadcast_within(stage(decided.filter(~F.col("stays")).select("i"), "minhash-gone"))
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     return renamed.join(gone, F.col(f"c{docs.columns.index(id_col)}").eqNullSafe(F.col("i")), "left_anti").toDF(*docs.columns)

@@ -67,7 +67,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80).drop("key")
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -92,6 +92,30 @@ def test_hamming_against_brute_force(spark):
     assert hamming_topk(found.limit(0), found.limit(0), 5).count() == 0
 
 
+def test_hamming_over_several_blocks(spark, monkeypatch):
+    """Null ids and codes, ties, several codes of one id, and bounds carried from one round of blocks to the next."""
+    from terrasieve.llm import hamming
+
+    monkeypatch.setattr(hamming, "ROW_BLOCK", 40)
+    monkeypatch.setattr(hamming, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(9)
+    rows = [(i, int(c)) for i, c in enumerate(rng.integers(0, 1 << 12, 400))]  # few bits: many ties
+    rows += [(17, 5), (17, 99), (20, 1 << 62), (None, 3), (None, 4), (900, None)]
+    df = spark.createDataFrame(rows, "id long, code long").repartition(5)
+    got = defaultdict(list)
+    for r in hamming_topk(df, df.filter("id % 20 = 0 or id is null"), 7).collect():
+        got[r.query_id].append((r.rank, r.distance, r.id))
+    held = [r for r in rows if None not in r]
+    for q in {i for i, _ in held if i % 20 == 0}:
+        far = {}
+        for i, c in held:
+            if i != q:
+                far[i] = min([far.get(i, 99), *((c ^ x).bit_count() for j, x in held if j == q)])
+        want = sorted((d, i) for i, d in far.items())[:7]
+        assert sorted(got.pop(q)) == [(n + 1, d, i) for n, (d, i) in enumerate(want)]
+    assert not got
+
+
 def brute_components(texts, size, percent):
     sets = []
     for t in texts:
@@ -139,9 +163,9 @@ def test_near_duplicates_against_brute_force(spark):
 
 
 def test_components_of_a_chain(spark):
-    edges = [(f"{i:03}".encode(), f"{i + 1:03}".encode()) for i in range(40)] + [(b"900", b"901")]
-    got = {bytes(r.key): bytes(r.root) for r in components(spark.createDataFrame(edges, "a binary, b binary")).collect()}
-    assert {got[f"{i:03}".encode()] for i in range(41)} == {b"000"} and got[b"901"] == b"900"
+    edges = [(i, i + 1) for i in range(40)] + [(900, 901)]
+    got = {r.c: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[i] for i in range(41)} == {0} and got[901] == 900
 
 
 def run_symbols(*symbols):

@@ -12,10 +12,16 @@ def test_hamming_blocks_hold_no_repeats(spark, monkeypatch):
     plain = spark.createDataFrame([*once, (7, 5)], "id long, code long")
     ask = lambda df: df.filter("id % 7 = 0")
     want = sorted(hamming.hamming_topk(plain, ask(plain), 5).collect())
-    staged, stage = {}, hamming.stage
-    monkeypatch.setattr(hamming, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    counts, stage = {}, hamming.stage
+
+    def counted(df, name):  # the tables are deleted at the end
+        df = stage(df, name)
+        counts[name] = df.count()
+        return df
+
+    monkeypatch.setattr(hamming, "stage", counted)
     assert sorted(hamming.hamming_topk(rows, ask(rows), 5).collect()) == want
-    assert staged["hamming-rows"].count() == 61 and staged["hamming-queries"].count() == ask(plain).count()
+    assert counts["hamming-rows"] == 61 and counts["hamming-queries"] == ask(plain).count()
 
 
 def test_quality_sample_has_one_row_an_id(spark, monkeypatch):
