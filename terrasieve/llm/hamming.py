@@ -4,12 +4,14 @@ A code is split into segments; a table for each segment lists the rows by its va
 2, ... are looked up in every table. Once all segments have been searched up to radius r, each row within m * (r + 1) - 1 bits has been
 seen (m segments, pigeonhole), so a query is done when its k-th verified distance is within that bound. Ties go to the smaller id.
 
-Defined results: rows whose vector is null, or has a null or a length unlike `bits`, have no code: they are neither found nor queried. Fewer than
-k other rows give fewer results. A query doesn't find rows with its own id; rows with one id are found once, at their least distance.
-An empty table gives no rows. Extra columns are not read.
-
-Plan: codes (16 bytes a row), one of each repeat, are packed into blocks of rows and blocks of queries of fixed size. A block of rows builds its tables once
-for each block of queries and gives k rows a query; Spark merges them by query. The work is queries times row blocks, whatever the keys.
+Defined results: rows whose vector is null, or has a null or a length unlike `bits`, have no code, and rows without an id can't be named:
+both are neither found nor queried. Fewer than k other rows give fewer results. A query doesn't find rows with its own id; rows with one
+id are found once, at their least distance. An empty table gives no rows. Extra columns are not read.
+
+Plan: codes (16 bytes a row), one of each repeat, are packed into blocks of rows and of queries of bounded size. A task gets one block
+of rows, builds its tables once, and queries stream by. Blocks are searched in rounds of 1, 1, 2, 4, ... of them; a query takes the k-th
+distance of the rounds before along as a bound, so that a round gives about k rows a query, however many blocks it has. Where blocks are
+fewer than cores, a block's queries are dealt to several tasks. The work is queries times row blocks, whatever the keys.
 """
 
 from __future__ import annotations
@@ -23,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrasieve.functions.staging import stage
+from terrasieve.functions.staging import drop, stage
+from terrasieve.llm.worker_memory import make_room
 
-ROW_BLOCK, QUERY_BLOCK = 1 << 17, 1 << 10
+ROW_BLOCK, QUERY_BLOCK = 1 << 18, 1 << 8
 
 
 def binary_codes(table: DataFrame, id_col: str, vector_col: str, bits: int = 64) -> DataFrame:
@@ -37,7 +40,7 @@ def binary_codes(table: DataFrame, id_col: str, vector_col: str, bits: int = 64)
     powers = F.array(*[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(bits)])
     code = F.aggregate(F.zip_with(vector, powers, lambda v, p: F.when(v > 0, p).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
     whole = (F.size(vector) == bits) & ~F.exists(vector, lambda v: v.isNull())
-    return table.select(F.col(id_col).alias("id"), F.when(whole, code).alias("code")).filter("code is not null")
+    return table.select(F.col(id_col).alias("id"), F.when(whole, code).alias("code")).filter("id is not null and code is not null")
 
 
 def segment_widths(bits: int, rows: int) -> list[int]:
@@ -61,8 +64,8 @@ class Block:
             at += width
         self.masks = {(w, r): np.array([sum(1 << b for b in c) for c in combinations(range(w), r)], dtype=np.int64) for w in set(self.widths) for r in range(w + 1)}
 
-    def search(self, query_id: int, code: np.uint64, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, distances) of the k nearest rows with other ids than the query's, by distance, then id."""
+    def search(self, query_id: int, code: np.uint64, k: int, bound: int = 64) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, distances) of the k nearest rows with other ids than the query's, by distance, then id; none beyond bound."""
         seen = np.zeros(len(self.ids), dtype=bool)
         seen[np.searchsorted(self.ids, query_id) : np.searchsorted(self.ids, query_id, "right")] = True  # its own rows
         where, far = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -87,38 +90,67 @@ class Block:
                 first.sort()
                 where, far = where[first], far[first]
             where, far = where[:k], far[:k]
-            if len(far) == k and far[-1] <= len(self.widths) * (radius + 1) - 1:
+            covered = len(self.widths) * (radius + 1) - 1
+            if covered >= bound or (len(far) == k and far[-1] <= covered):
                 break
-        return self.ids[where], far
-
-
-def hamming_topk(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) -> DataFrame:
-    """rows, queries: (id, code). Per query: query_id, rank (from 1), id, distance."""
-    # repeats of one (id, code) would all be dealt to one block; an id is found once however often it stands there
-    rows, queries = stage(rows.dropDuplicates(["id", "code"]), "hamming-rows"), stage(queries.dropDuplicates(["id", "code"]), "hamming-queries")
+        near = far <= bound
+        return self.ids[where[near]], far[near]
 
-    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-        n = max(1, -(-df.count() // size))
-        dealt = df.withColumn("block", F.pmod(F.xxhash64("id", "code"), F.lit(n)))
-        return dealt.groupBy("block").agg(F.collect_list("id").alias(f"{name}_ids"), F.collect_list("code").alias(f"{name}_codes"))
 
-    # every block of queries meets every block of rows: a stated query set against all rows, in blocks
-    n_rows = max(1, -(-rows.count() // ROW_BLOCK))
-    asked = blocks(queries, QUERY_BLOCK, "q").select(F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("to"), "q_ids", "q_codes")
-    pairs = blocks(rows, ROW_BLOCK, "r").join(asked, F.col("block") == F.col("to")).select("q_ids", "q_codes", "r_ids", "r_codes")
+def _search(k: int, bits: int):
+    """Over records (block, lane, held, asked): the rows of a block, then its blocks of queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for q_ids, q_codes, r_ids, r_codes in zip(*(b.column(i) for i in range(4)), strict=True):
-                array = lambda x: x.values.to_numpy(zero_copy_only=False)
-                block = Block(array(r_ids), array(r_codes).view(np.uint64), bits)
+        make_room("hamming")
+        block = None
+        for batch in batches:
+            for held, asked in zip(batch.column("held"), batch.column("asked"), strict=True):
+                if held.is_valid:
+                    ids, codes = (x.to_numpy(zero_copy_only=False) for x in held.values.flatten())
+                    block = Block(ids, codes.view(np.uint64), bits)
+                    continue
+                ids, codes, bounds = (x.to_numpy(zero_copy_only=False) for x in asked.values.flatten())
                 out: list[list[np.ndarray]] = [[], [], []]
-                for q, c in zip(array(q_ids).tolist(), array(q_codes).view(np.uint64), strict=True):
-                    ids, far = block.search(q, c, k)
-                    for column, value in zip(out, (np.full(len(ids), q), ids, far), strict=True):
+                for q, c, bound in zip(ids.tolist(), codes.view(np.uint64), bounds.tolist(), strict=True):
+                    found, far = block.search(q, c, k, bound)
+                    for column, value in zip(out, (np.full(len(found), q), found, far), strict=True):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64), pa.int64()) for c in out], names=["query_id", "id", "distance"])
 
-    best = pairs.mapInArrow(run, "query_id long, id long, distance long").groupBy("query_id", "id").agg(F.min("distance").alias("distance"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("long").alias("rank"), "id", "distance")
+    return run
+
+
+def hamming_topk(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) -> DataFrame:
+    """rows, queries: (id, code). Per query: query_id, rank (from 1), id, distance."""
+    # repeats of one (id, code) would all be dealt to one block; an id is found once however often it stands there
+    once = lambda df: df.filter("id is not null and code is not null").dropDuplicates(["id", "code"])
+    rows, queries = stage(once(rows), "hamming-rows"), stage(once(queries), "hamming-queries")
+    n, chunks = (max(1, -(-df.count() // size)) for df, size in ((rows, ROW_BLOCK), (queries, QUERY_BLOCK)))
+    dealt = lambda count, seed: F.pmod(F.xxhash64("id", "code", F.lit(seed)), F.lit(count))
+    blocks = stage(rows.groupBy(dealt(n, 1).alias("block")).agg(F.collect_list(F.struct("id", "code")).alias("held")), "hamming-blocks")
+    best, done, cores = None, 0, rows.sparkSession.sparkContext.defaultParallelism
+    while done < n:
+        width = min(max(1, done), n - done)
+        lanes = max(1, -(-cores // width))
+        # every block of queries meets every block of rows: a stated query set against all rows, in blocks
+        bound = F.lit(bits).cast("long")
+        asked = queries.withColumn("bound", bound)
+        if best is not None:
+            last = best.filter(F.col("rank") == k).select("query_id", F.col("distance").alias("known"))
+            asked = queries.join(last, F.col("id") == F.col("query_id"), "left").withColumn("bound", F.coalesce("known", bound))
+        asked = asked.groupBy(dealt(chunks, 2).alias("chunk")).agg(F.collect_list(F.struct("id", "code", "bound")).alias("asked"))
+        asked = asked.select(F.explode(F.sequence(F.lit(done), F.lit(done + width - 1)).cast("array<long>")).alias("block"), (F.col("chunk") % lanes).cast("int").alias("lane"), "asked")
+        held = blocks.filter(F.col("block").between(done, done + width - 1)).select("block", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), "held")
+        both = held.unionByName(asked, allowMissingColumns=True).repartition(width * lanes, "block", "lane")
+        both = both.sortWithinPartitions("block", "lane", F.col("held").isNull())
+        found = both.select("held", "asked").mapInArrow(_search(k, bits), "query_id long, id long, distance long")
+        if best is not None:
+            found = found.unionByName(best.select("query_id", "id", "distance"))
+        found = found.groupBy("query_id", "id").agg(F.min("distance").alias("distance"))
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
+        better = stage(found.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= k), "hamming-best")
+        if best is not None:
+            drop(best)
+        best, done = better, done + width
+    drop(rows, queries, blocks)
+    return best.select("query_id", "rank", "id", "distance")
