@@ -6,10 +6,12 @@ matched; words alone emit nothing. Weights of insults (words and stems) are log-
 are learned by logistic loss; the fixed word lists below only seed the symbols. A text's score is the logistic of its weighted clauses.
 
 Defined results: null text counts as empty. A text without a matched clause, the empty text too, gets the base score. Without labels of
-both kinds the fixed lists and DEFAULT_WEIGHTS score. Repeated rows each get a row. Extra columns are not read.
+both kinds the fixed lists and DEFAULT_WEIGHTS score. Words of any length count. Repeated rows each get a row. An empty table gives an
+empty result. Extra columns are not read.
 
-Plan: the learning sample has `most` rows of each label at most (a documented bound). Spark counts its words; MOST_TERMS of them at most
-reach the driver. Scoring is one pass without a shuffle; the lexicon and the table go along with it.
+Plan: the learning sample has `most` rows of each label at most (a documented bound). Spark counts its words. All those that a hundredth
+of the sample's toxic texts hold, and that are common enough among them, reach the driver: at most a hundred times as many as a toxic
+text has different terms. Scoring is one pass without a shuffle; the lexicon and the table go along with it.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from terrasieve.llm.columns import whole_text
 from terrasieve.llm.learning import held_out, labelled_texts, logistic_fit, sigmoid
+from terrasieve.llm.worker_memory import make_room
 
 # Seed word lists in English, German, French and Spanish.
 INSULTS = "idiot moron stupid trash scum loser pathetic worthless disgusting clown dummkopf abschaum connard ordure imbécile estúpido basura idiota".split()
@@ -37,12 +40,12 @@ REPORTS = "said says wrote writes told claimed reported quoted sagte schrieb dit
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, COMMA, STOP = range(8)
 _SEEDS = {w: s for s, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS)) for w in words}
 
-#: Rows of each label in the learning sample, terms in the lexicon, and stems' lengths.
-MOST, MOST_TERMS, STEMS = 6000, 20_000, (4, 5, 6)
+#: Rows of each label in the learning sample at most, and stems' lengths.
+MOST, STEMS = 6000, (4, 5, 6)
 #: A term joins the lexicon from this log-odds on.
 LEAST_ODDS = 4.0
-#: Longest word that is looked up; longer ones are no words.
-LONGEST_WORD = 64
+#: Pieces that a worker remembers; beyond it the memory starts anew. Longer pieces aren't remembered.
+CACHED_PIECES, CACHED_LENGTH = 200_000, 64
 
 # Component transducers: next state by (state, symbol). They end with a clause; reported speech ends with its sentence.
 
@@ -84,7 +87,7 @@ STEP, EMIT = compose()
 #: reported, with a target, both), of the strongest clause, and of their share.
 DEFAULT_WEIGHTS = np.array([-2.5] + [0.2] * 4 + [0.3] * 4 + [2.0, 1.0, 3.0, 2.0] + [4.0, 2.0, 5.0, 3.0] + [0.3, 0.0])
 
-_EDGES = re.compile(r"^\W+|\W+$")
+_WORD = re.compile(r"\w+")
 _SPLIT = re.compile(r"[\W_]+")
 
 
@@ -104,21 +107,22 @@ class Grammar:
 
     def symbols(self, piece: str) -> tuple[int, int, float]:
         """(symbol, symbol of the mark at its end or -1, weight) of a piece between white space."""
-        word = _EDGES.sub("", piece)
+        runs = [m.span() for m in _WORD.finditer(piece)]
+        word = piece[runs[0][0] : runs[-1][1]] if runs else ""
         end = piece[-1:]
         mark = STOP if end in ".!?…" else COMMA if end in ",;:)" else -1
-        weight = max([self.insult(w) for w in {word, *_SPLIT.split(word)} if 0 < len(w) <= LONGEST_WORD], default=0.0)
+        weight = max([self.insult(w) for w in {word, *_SPLIT.split(word)} if w], default=0.0)
         symbol = INSULT if weight else _SEEDS.get(word, OTHER)
         return (symbol, mark, weight)
 
     def clauses(self, text: str) -> list[tuple[int, float]]:
         """(kind, weight) of each matched clause."""
-        if len(self.seen) > 200_000:
+        if len(self.seen) > CACHED_PIECES:
             self.seen = {}
-        seen, pieces = self.seen, text.lower().split()
+        seen, pieces, once = self.seen, text.lower().split(), {}
         for p in [p for p in set(pieces) if p not in seen]:
-            seen[p] = self.symbols(p)
-        coded = [seen[p] for p in pieces]
+            (seen if len(p) <= CACHED_LENGTH else once)[p] = self.symbols(p)
+        coded = [seen[p] if p in seen else once[p] for p in pieces] if once else [seen[p] for p in pieces]
         at = [i for i, c in enumerate(coded) if c[0] in (INSULT, THREAT)]
         out: list[tuple[int, float]] = []
         done = -1
@@ -165,7 +169,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each word and stem of a text once: (term, label)."""
     for b in batches:
         for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True):
-            words = {w for w in _SPLIT.split(text.lower()) if 3 <= len(w) <= LONGEST_WORD}
+            words = {w for w in _SPLIT.split(text.lower()) if len(w) >= 3}
             terms = list(words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) >= n})
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([label] * len(terms), pa.int32())], names=["term", "label"])
 
@@ -182,7 +186,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 3, remainder:
     counted = once.select("text", "label").mapInArrow(_terms, "term string, label int").groupBy("term").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     least = max(3, round(0.01 * toxic))
-    found = counted.filter(F.col("t") >= least).withColumn("w", odds).filter(F.col("w") >= LEAST_ODDS).orderBy(F.desc("w"), F.desc("t"), "term").limit(MOST_TERMS).collect()
+    found = counted.filter(F.col("t") >= least).withColumn("w", odds).filter(F.col("w") >= LEAST_ODDS).collect()
     grammar = Grammar(seeds | {r.term: r.w for r in found})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +194,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 3, remainder:
             x = [grammar.features(t).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(x, pa.binary())], names=["label", "x"])
 
-    learned = once.select("text", "label").mapInArrow(rows, "label int, x binary").orderBy("label", "x").collect()
+    learned = once.select("text", "label").mapInArrow(rows, "label int, x binary").collect()
+    learned.sort(key=lambda r: (r.label, r.x))  # the bounded sample, in the driver
     x = np.stack([np.frombuffer(r.x) for r in learned])
     y = np.array([r.label for r in learned], dtype=float)
     even = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())) * len(y)
@@ -204,6 +209,7 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, cut: float = 0.7, mod: int
     kind = d.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("toxicity")
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(grammar.score(b.column("text").to_pylist()), pa.float64())], names=["doc_id", "score"])
 
@@ -217,6 +223,7 @@ def drop_toxic(docs: DataFrame, grammar: Grammar, cut: float = 0.7, text_col: st
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("toxicity")
         for b in batches:
             if b.num_rows:
                 yield b.filter(pa.array(grammar.score([t or "" for t in b.column(at).to_pylist()]) < cut))
