@@ -4,10 +4,12 @@ Counts of n-grams (1 to 3 code points of the lower-cased text, white space runs
 half smoothing, give a log-probability matrix. It is broadcast; batches of texts are scored as sparse sums of its rows in numpy.
 
 Defined results: a text that is null or has no letter gets `und` and score 1; without any learned language every text gets `und` and
-score 0. Equal posteriors: the language that is first in order. Repeated rows each get a row. Extra columns are not read.
+score 0. Equal posteriors: the language that is first in order. Repeated rows each get a row. An empty table gives an empty result.
+Extra columns are not read.
 
 Plan: the learning sample has `most` rows of each language at most (a documented bound); counts are summed by Spark and reach the driver
-as languages x width numbers at most. The number of languages is taken to be in the hundreds. Scoring is one pass without a shuffle.
+as languages x width numbers at most. More than MOST_LANGUAGES languages raise ValueError, as the matrix would outgrow a task. Scoring is
+one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +26,10 @@ from pyspark.sql import functions as F
 from terrasieve.llm.columns import whole_text
 from terrasieve.llm.learning import held_out, label_counts, stratified
 from terrasieve.llm.word_tokens import slices
+from terrasieve.llm.worker_memory import make_room
 
+#: Languages at most: 210 MB while the matrix is made, half of that in each worker.
+MOST_LANGUAGES = 400
 #: Rows of each language in the learning sample at most; buckets of the hash; longest n-gram.
 MOST, WIDTH, LONGEST = 2000, 1 << 16, 3
 #: Odd 32-bit multipliers of the hash, one for each place in an n-gram.
@@ -85,7 +90,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_languages(docs: DataFrame, mod: int = 4, remainder: int = 2, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> NaiveBayes:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(mod, remainder))
-    priors = label_counts(rows, "lang")
+    priors = label_counts(rows, "lang", MOST_LANGUAGES)
     langs = sorted(priors)
     sample = stratified(rows, "lang", priors, most).select("lang", "text")
     counts = sample.mapInArrow(_count, "lang string, h int, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")).toArrow()
@@ -103,6 +108,7 @@ def identify(docs: DataFrame, model: NaiveBayes, mod: int = 4, remainder: int =
     kind = d.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("langid")
         for b in batches:
             id_type = b.schema.field(0).type
             for ids, texts in slices(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), 500_000):

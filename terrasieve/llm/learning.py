@@ -15,9 +15,12 @@ def held_out(mod: int, remainder: int, id_col: str = "doc_id"):
     return F.coalesce(F.pmod(crc32_of_id(id_col), F.lit(mod)) == remainder, F.lit(True))
 
 
-def label_counts(rows: DataFrame, label: str) -> dict:
-    """Rows of each label. Labels must be few: one count for each goes to the driver."""
-    return {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+def label_counts(rows: DataFrame, label: str, most: int = 100) -> dict:
+    """Rows of each label. One count for each goes to the driver; ValueError if there are more than `most` labels."""
+    counts = rows.groupBy(label).count().limit(most + 1).collect()
+    if len(counts) > most:
+        raise ValueError(f"more than {most} values of {label}")
+    return {r[0]: r[1] for r in counts}
 
 
 def stratified(rows: DataFrame, label: str, counts: dict, most: int, id_col: str = "doc_id") -> DataFrame:

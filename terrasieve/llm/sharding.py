@@ -7,11 +7,15 @@ settle last and fill every shard to its capacity, so counts differ by one at mos
 
 A link that holds more rows than a shard is dealt into parts that fit, each a link of its own.
 
-Defined results: null text has no bytes and size 1; null texts and empty texts are different groups of links. Repeated rows each get a
-row and a slot. An empty table gives no rows. Extra columns are not read.
+Rounds go on until no row may move, or until a round doesn't lower the number of rows that lie outside their link's largest shard; then
+the state before it stays. That number falls with every other round, so the rounds end.
+
+Defined results: null text has no bytes and size 1, and is linked with nothing; empty texts are equal texts like any others. Null and
+repeated ids, and repeated rows, each give a row and a slot. An empty table gives no rows. Extra columns are not read.
 
 Plan: DataFrame operations only. Texts are read once; rows of about 60 bytes are written to the shared folder. Ranks are found by bucket
-counts, so no window holds more than a bucket. A matrix of shards x shards counts goes to the driver each round, nothing else.
+counts, so no window holds more than a bucket of rows, or a row for each bucket (5 million for 10^11 rows). A matrix of shards x shards
+counts goes to the driver each round, nothing else.
 """
 
 from __future__ import annotations
@@ -22,11 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrasieve.functions.staging import stage
+from terrasieve.functions.staging import drop, stage
 from terrasieve.llm.columns import own_exchange
 
 #: Rows in a bucket of ranks on average, at most.
-BUCKET_ROWS = 5_000
+BUCKET_ROWS = 20_000
 
 
 def ranked(df: DataFrame, part: list[str], total: int, name: str) -> DataFrame:
@@ -55,13 +59,14 @@ def quotas(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[in
     return allowed
 
 
-def propagate(linked: DataFrame, capacity: list[int], total: int, rounds: int = 8) -> DataFrame:
+def propagate(linked: DataFrame, capacity: list[int], total: int) -> DataFrame:
     """(row, link, shard) of linked rows, which come as (row, link). total: how many they are."""
-    shards = len(capacity)
+    shards, turn = len(capacity), 0
     state = ranked(linked, [], max(1, total), "rank")
     # dealt round the shards: no shard gets more than its capacity, which falls with its number as what it is dealt does
     state = stage(state.select("row", "link", (F.col("rank") % shards).cast("int").alias("shard")), "shard-state")
-    for turn in range(rounds):
+    before, least = None, total + 1
+    while True:
         counts = state.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
         best = counts.groupBy("link").agg(F.max_by("shard", F.struct("n", F.xxhash64("link", "shard", F.lit(turn)))).alias("to"))
         best = best.select(own_exchange(F.col("link")).alias("h"), "to")
@@ -70,14 +75,22 @@ def propagate(linked: DataFrame, capacity: list[int], total: int, rounds: int =
         flow = {(r[0], r[1]): r[2] for r in wishes.groupBy("shard", "to").count().collect()}
         held = [sum(n for (i, _), n in flow.items() if i == s) for s in range(shards)]
         wanted = {k: n for k, n in flow.items() if k[0] != k[1]}
+        away = sum(wanted.values())
+        if away >= least:
+            drop(wishes, state)
+            return before
+        if before is not None:
+            drop(before)
         allowed = quotas(wanted, [max(0, c - h) for c, h in zip(capacity, held, strict=True)])
         if not sum(allowed.values()):
-            break
+            drop(wishes)
+            return state
         table = F.array(*[F.lit(allowed.get((i, j), 0)) for i in range(shards) for j in range(shards)])
-        movers = ranked(wishes.filter("shard <> to"), ["shard", "to"], max(1, sum(wanted.values())), "rank")
+        movers = ranked(wishes.filter("shard <> to"), ["shard", "to"], max(1, away), "rank")
         moved = movers.select("row", "link", F.when(F.col("rank") < table[F.col("shard") * shards + F.col("to")], F.col("to")).otherwise(F.col("shard")).alias("shard"))
+        before, least, turn = state, away, turn + 1
         state = stage(wishes.filter("shard = to").select("row", "link", "shard").unionByName(moved), "shard-state")
-    return state
+        drop(wishes)
 
 
 def _dealt(rank: Column, edges: list[int]) -> Column:
@@ -88,7 +101,7 @@ def _dealt(rank: Column, edges: list[int]) -> Column:
     return shard.cast("int")
 
 
-def balanced_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text", link: Column | None = None) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", link: Column | None = None) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under this law). link: what linked rows share; by default
     the 128-bit hash of the text."""
     data = F.col(text_col).cast("binary")
@@ -109,12 +122,13 @@ def balanced_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, id_col:
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("row", F.lit(9)), F.col("parts"))).otherwise(F.lit(0))
     linked = stage(linked.select("row", F.unhex(F.md5(F.concat_ws("/", F.hex("link"), part).cast("binary"))).alias("link")), "shard-linked")
     n_linked = linked.count()
-    state = propagate(linked, capacity, n_linked, rounds)
+    state = propagate(linked, capacity, n_linked)
     held = {r[0]: r[1] for r in state.groupBy("shard").count().collect()}
     edges = [0]
     for s, c in enumerate(capacity):
         edges.append(edges[-1] + c - held.get(s, 0))
     alone = ranked(rows.select("row").join(linked.select("row"), "row", "left_anti"), [], max(1, total - n_linked), "rank")
     shard = stage(state.select("row", "shard").unionByName(alone.select("row", _dealt(F.col("rank"), edges).alias("shard"))), "shard-of")
+    drop(linked, state)
     placed = ranked(rows.drop("link").join(shard, "row"), ["shard"], max(1, total // shards), "slot")
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
