@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,26 +33,33 @@ def _linear(at: Column, slope: Column, low: Column, high: Column) -> tuple[Colum
     return F.when(slope == 0, flat).otherwise(F.least(first, second)), F.when(slope == 0, -flat).otherwise(F.greatest(first, second))
 
 
-def _disc(a: Column, b: Column, c: Column) -> tuple[Column, Column]:
-    """The t for which a t^2 + 2 b t + c <= 0, null if none."""
-    root = F.sqrt(F.when(b * b - a * c >= 0, b * b - a * c))
-    return (-b - root) / a, (-b + root) / a
+def _linear_range(at: np.ndarray, slope: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first, second = (low - at) / slope, (high - at) / slope
+    flat = np.where((at >= low) & (at <= high), -np.inf, np.inf)
+    return np.where(slope == 0, flat, np.minimum(first, second)), np.where(slope == 0, -flat, np.maximum(first, second))
 
 
-def capsule_interval(p: tuple[Column, Column], q: tuple[Column, Column], r: tuple[Column, Column], s: tuple[Column, Column], d: float) -> tuple[Column, Column]:
-    """The interval of t in [0, 1] in which p + t (q - p) lies within d of edge r-s, as (low, high); null or reversed if empty.
-    A capsule is convex, so the discs about both ends and the rectangle between them give one interval. p must differ from q."""
-    vx, vy, wx, wy = q[0] - p[0], q[1] - p[1], s[0] - r[0], s[1] - r[1]
-    ux, uy, zx, zy = p[0] - r[0], p[1] - r[1], p[0] - s[0], p[1] - s[1]
+def capsule_intervals(edges: np.ndarray, others: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of edges (rows ax, ay, bx, by): the interval of t in [0, 1] in which the first edge lies within d of the second, as
+    (low, high), low above high if empty. A capsule is convex, so the discs about both ends and the rectangle between them give one
+    interval. An edge of no length has none."""
+    (px, py, qx, qy), (rx, ry, sx, sy) = edges.T, others.T
+    vx, vy, wx, wy, ux, uy, zx, zy = qx - px, qy - py, sx - rx, sy - ry, px - rx, py - ry, px - sx, py - sy
     a, ww = vx * vx + vy * vy, wx * wx + wy * wy
-    near_r = _disc(a, vx * ux + vy * uy, ux * ux + uy * uy - d * d)
-    near_s = _disc(a, vx * zx + vy * zy, zx * zx + zy * zy - d * d)
-    along = _linear(ux * wx + uy * wy, vx * wx + vy * wy, F.lit(0.0), ww)
-    beside = _linear(ux * wy - uy * wx, vx * wy - vy * wx, -d * F.sqrt(ww), d * F.sqrt(ww))
-    low, high = F.greatest(along[0], beside[0]), F.least(along[1], beside[1])
-    low, high = F.when((low <= high) & (ww > 0), low), F.when((low <= high) & (ww > 0), high)
-    low, high = F.least(near_r[0], near_s[0], low), F.greatest(near_r[1], near_s[1], high)  # of the pieces that aren't empty
-    return F.when(low.isNotNull(), F.greatest(F.lit(0.0), low)), F.when(high.isNotNull(), F.least(F.lit(1.0), high))
+    low, high = np.full(len(a), np.inf), np.full(len(a), -np.inf)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for cx, cy in ((ux, uy), (zx, zy)):
+            b, c = vx * cx + vy * cy, cx * cx + cy * cy - d * d
+            root = np.sqrt(np.where(b * b - a * c >= 0, b * b - a * c, np.nan))
+            low, high = np.fmin(low, (-b - root) / a), np.fmax(high, (-b + root) / a)
+        width = d * np.sqrt(ww)
+        along = _linear_range(ux * wx + uy * wy, vx * wx + vy * wy, np.zeros(len(a)), ww)
+        beside = _linear_range(ux * wy - uy * wx, vx * wy - vy * wx, -width, width)
+        first, last = np.maximum(along[0], beside[0]), np.minimum(along[1], beside[1])
+        holds = (first <= last) & (ww > 0)
+        low, high = np.where(holds, np.fmin(low, first), low), np.where(holds, np.fmax(high, last), high)
+    empty = ~(a > 0)
+    return np.where(empty, np.inf, np.maximum(0.0, low)), np.where(empty, -np.inf, np.minimum(1.0, high))
 
 
 def clip_interval(p: tuple[Column, Column], q: tuple[Column, Column], box: tuple[Column, Column, Column, Column]) -> tuple[Column, Column]:
@@ -67,3 +75,10 @@ def point_edge_distance2(x: Column, y: Column, ax: Column, ay: Column, bx: Colum
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(((x - ax) * vx + (y - ay) * vy) / F.nullif(vx * vx + vy * vy, F.lit(0.0)), F.lit(0.0))))
     dx, dy = x - (ax + t * vx), y - (ay + t * vy)
     return dx * dx + dy * dy
+
+
+def box_of(width: Column, height: Column, affine: tuple[Column, Column, Column, Column, Column, Column]) -> tuple[Column, Column, Column, Column]:
+    """xmin, ymin, xmax, ymax of a raster of that size by its affine (a, b, xoff, d, e, yoff), whichever way its axes run."""
+    a, b, x0, d, e, y0 = affine
+    x, y = [x0, x0 + a * width, x0 + b * height, x0 + a * width + b * height], [y0, y0 + d * width, y0 + e * height, y0 + d * width + e * height]
+    return F.least(*x), F.least(*y), F.greatest(*x), F.greatest(*y)

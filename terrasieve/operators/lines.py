@@ -6,12 +6,18 @@ pair is reported in one cell alone, so no distinct follows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrasieve.functions.geometry import capsule_interval, clip_interval, edge_length
-from terrasieve.functions.scalars import f1_score, safe_ratio
+from terrasieve.functions.geometry import capsule_intervals, clip_interval, edge_length
+from terrasieve.functions.scalars import f1_score, require_same_crs, safe_ratio
+
+EDGE = ("ax", "ay", "bx", "by")
 
 
 def _bounds(df: DataFrame, margin: float) -> DataFrame:
@@ -40,26 +46,48 @@ def grid_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     return out.drop(*[c for c in out.columns if c.lstrip("r").startswith("_")])
 
 
+def with_crs(layer: DataFrame, crs: str) -> DataFrame:
+    """layer labelled with a reference system; coordinates stay as they are."""
+    return layer.withColumn("crs", F.lit(crs))
+
+
+def same_crs(a: DataFrame, b: DataFrame) -> None:
+    """ValueError where labelled layers have different reference systems, or one of them several. Layers without a label pass."""
+    if "crs" in a.columns and "crs" in b.columns:
+        found = [r[0] for r in a.select("crs").unionByName(b.select("crs")).distinct().limit(2).collect()]
+        for other in found[1:]:
+            require_same_crs(found[0], other)
+
+
 def split_by_buffer(source: DataFrame, mask: DataFrame, distance: float, cell: float = 20.0) -> DataFrame:
-    """Per source edge: id, length, inside, outside: the lengths within `distance` of any mask edge and beyond it."""
-    return covered_intervals(source, mask, distance, cell).groupBy("id").agg(
-        F.first("length").alias("length"), (F.first("length") * F.sum("part")).alias("inside"), (F.first("length") * (1 - F.sum("part"))).alias("outside")
-    )
+    """Per source edge (ids are unique): id, length, inside, outside: the lengths within `distance` of any mask edge and beyond it. An edge
+    of no length has 0 of both. Labelled layers must have one reference system."""
+    same_crs(source, mask)
+    source = source.select("id", *EDGE)
+    # every source edge once with its length, and each interval that a mask edge covers: edges with nothing near them need no join back
+    base = source.select("id", edge_length(*map(F.col, EDGE)).alias("length"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+    rows = base.unionByName(covered_intervals(source, mask, distance, cell), allowMissingColumns=True)
+    before = Window.partitionBy("id").orderBy(F.col("lo").asc_nulls_first(), "hi").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max("hi").over(before), F.col("lo"))
+    part = F.coalesce(F.greatest(F.lit(0.0), F.col("hi") - F.greatest("lo", reach)), F.lit(0.0))
+    sums = rows.select("id", "length", part.alias("part")).groupBy("id").agg(F.max("length").alias("length"), F.sum("part").alias("part"))
+    return sums.select("id", "length", (F.col("length") * F.col("part")).alias("inside"), (F.col("length") * (1 - F.col("part"))).alias("outside"))
 
 
 def covered_intervals(source: DataFrame, mask: DataFrame, distance: float, cell: float = 20.0) -> DataFrame:
-    """Per source edge and mask edge near it: id, length, lo, hi and part, what the interval adds to those before it. Edges with nothing
-    near them have one row with part 0."""
-    source = source.select("id", "ax", "ay", "bx", "by")
-    near = grid_join(_bounds(source, 0.0), _bounds(mask.select("ax", "ay", "bx", "by"), distance), cell)
-    c = F.col
-    lo, hi = capsule_interval((c("ax"), c("ay")), (c("bx"), c("by")), (c("rax"), c("ray")), (c("rbx"), c("rby")), distance)
-    found = near.select("id", lo.alias("lo"), hi.alias("hi"))
-    before = Window.partitionBy("id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max("hi").over(before)
-    parts = found.select("id", "lo", "hi", F.coalesce(F.greatest(F.lit(0.0), c("hi") - F.greatest(c("lo"), F.coalesce(reach, c("lo")))), F.lit(0.0)).alias("part"))
-    lengths = source.select("id", edge_length(c("ax"), c("ay"), c("bx"), c("by")).alias("length"))
-    return lengths.join(parts, "id", "left").withColumn("part", F.coalesce("part", F.lit(0.0)))
+    """(id, lo, hi) of each source edge and mask edge near it: the part of the edge, from 0 to 1, within `distance`. Pairs whose boxes
+    overlap, but that are further apart, give no row."""
+    kind = source.schema["id"].dataType.simpleString()
+    near = grid_join(_bounds(source.select("id", *EDGE), 0.0), _bounds(mask.select(*EDGE), distance), cell)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            xy = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns[1:]], axis=1).astype(float)
+            low, high = capsule_intervals(xy[:, :4], xy[:, 4:], distance)
+            found = pa.array(low <= high)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(found), pa.array(low).filter(found), pa.array(high).filter(found)], names=["id", "lo", "hi"])
+
+    return near.select("id", *EDGE, *[f"r{c}" for c in EDGE]).mapInArrow(run, f"id {kind}, lo double, hi double")
 
 
 def line_totals(predicted: DataFrame, truth: DataFrame, distance: float) -> DataFrame:
@@ -71,25 +99,60 @@ def line_totals(predicted: DataFrame, truth: DataFrame, distance: float) -> Data
     return rated.withColumn("f1", f1_score(F.col("precision"), F.col("recall")))
 
 
-def dissolve(lines: DataFrame, key: str) -> DataFrame:
-    """Per key and supporting line (direction and offset of integer edges): the length without overlaps. Columns key, length."""
-    dx, dy = (F.col("bx") - F.col("ax")).cast("long"), (F.col("by") - F.col("ay")).cast("long")
-    d = lines.filter((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by"))).select(key, "ax", "ay", "bx", "by", dx.alias("dx"), dy.alias("dy"))
-    # greatest common divisor by Euclid's steps; 64 of them are enough for 64-bit numbers' leading steps to settle at grid sizes
-    step = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.struct(F.abs("dx").alias("a"), F.abs("dy").alias("b")), lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.pmod(s["a"], s["b"]).alias("b"))), lambda s: s["a"])
-    d = d.withColumn("g", step)
+def _on_lines(lines: DataFrame, key: str, grid: float) -> DataFrame:
+    """Edges with corners rounded to whole multiples of grid, by supporting line: key, ux, uy (direction in lowest terms), off, n2, and the
+    lesser end (lo, x0, y0) and greater end (hi, x1, y1) along it. Whole numbers, so edges of one line have equal ux, uy and off."""
+    whole = [F.floor(F.col(c) / grid + 0.5).cast("long").alias(c) for c in EDGE]
+    d = lines.select(key, *whole).filter("ax <> bx or ay <> by").select("*", (F.col("bx") - F.col("ax")).alias("dx"), (F.col("by") - F.col("ay")).alias("dy"))
+    # Euclid's steps: 92 at most for 64-bit numbers
+    divisor = F.aggregate(F.sequence(F.lit(1), F.lit(92)), F.struct(F.abs("dx").alias("a"), F.abs("dy").alias("b")), lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.pmod(s["a"], s["b"]).alias("b"))), lambda s: s["a"])
     sign = F.when((F.col("dx") < 0) | ((F.col("dx") == 0) & (F.col("dy") < 0)), F.lit(-1)).otherwise(F.lit(1))
-    d = d.withColumn("ux", sign * F.expr("dx div g")).withColumn("uy", sign * F.expr("dy div g"))
-    d = d.withColumn("off", F.col("ux") * F.col("ay") - F.col("uy") * F.col("ax")).withColumn("n2", F.col("ux") * F.col("ux") + F.col("uy") * F.col("uy"))
-    s, e = F.col("ux") * F.col("ax") + F.col("uy") * F.col("ay"), F.col("ux") * F.col("bx") + F.col("uy") * F.col("by")
-    d = d.select(key, "ux", "uy", "off", "n2", F.least(s, e).alias("lo"), F.greatest(s, e).alias("hi"))
-    before = Window.partitionBy(key, "ux", "uy", "off").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.coalesce(F.max("hi").over(before), F.col("lo"))
-    return d.select(key, (F.greatest(F.lit(0.0), F.col("hi") - F.greatest("lo", reach)) / F.sqrt("n2")).alias("part")).groupBy(key).agg(F.sum("part").alias("length"))
+    d = d.withColumn("g", divisor).withColumn("sign", sign).withColumns({"ux": F.expr("sign * (dx div g)"), "uy": F.expr("sign * (dy div g)")})
+    along = lambda x, y: F.struct((F.col("ux") * F.col(x) + F.col("uy") * F.col(y)).alias("at"), F.col(x).alias("x"), F.col(y).alias("y"))
+    d = d.select(key, "ux", "uy", (F.col("ux") * F.col("ay") - F.col("uy") * F.col("ax")).alias("off"), F.least(along("ax", "ay"), along("bx", "by")).alias("lo"), F.greatest(along("ax", "ay"), along("bx", "by")).alias("hi"))
+    return d.withColumn("n2", F.col("ux") * F.col("ux") + F.col("uy") * F.col("uy"))
+
+
+def dissolve_parts(lines: DataFrame, key: str, grid: float = 1e-3) -> DataFrame:
+    """Per key, the lines without overlaps, one row a part: key, ax, ay, bx, by, length. Edges of one supporting line that overlap or touch
+    are one part; lines that only cross stay whole. Corners are rounded to multiples of grid first, and edges of no length then go.
+    Null corners go too. Coordinates over grid that outgrow 64 bits raise an error."""
+    d = _on_lines(lines.dropna(subset=list(EDGE)), key, grid)
+    line = (key, "ux", "uy", "off")
+    before = Window.partitionBy(*line).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("new", (F.coalesce(F.max("hi.at").over(before), F.col("lo.at") - 1) < F.col("lo.at")).cast("int"))
+    d = d.withColumn("part", F.sum("new").over(Window.partitionBy(*line).orderBy("lo", "hi")))  # equal intervals are peers
+    parts = d.groupBy(*line, "part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("n2").alias("n2"))
+    ends = [(F.col(f"{e}.{c}") * F.lit(grid)).alias(n) for n, e, c in (("ax", "lo", "x"), ("ay", "lo", "y"), ("bx", "hi", "x"), ("by", "hi", "y"))]
+    return parts.select(key, *ends, ((F.col("hi.at") - F.col("lo.at")) / F.sqrt("n2") * grid).alias("length"))
+
+
+def dissolve(lines: DataFrame, key: str, grid: float = 1e-3) -> DataFrame:
+    """Per key: the length of its lines without overlaps, by the rules of dissolve_parts. Columns key, length."""
+    return dissolve_parts(lines, key, grid).groupBy(key).agg(F.sum("length").alias("length"))
+
+
+def lines_in_box(lines: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """The edges that meet a closed box (xmin, ymin, xmax, ymax), whole: nothing is clipped. No join and no shuffle."""
+    c = F.col
+    lo, hi = clip_interval((c("ax"), c("ay")), (c("bx"), c("by")), tuple(F.lit(float(x)) for x in box))
+    return lines.filter(lo <= hi)
+
+
+def areas_in_box(edges: DataFrame, box: tuple[float, float, float, float], key: str = "id") -> DataFrame:
+    """key of the areas, given by the edges of their rings, that meet a closed box: an edge does, or the box lies inside, which is so when a
+    ray from its corner crosses the rings an odd number of times."""
+    x, y = float(box[0]), float(box[1])
+    c = F.col
+    lo, hi = clip_interval((c("ax"), c("ay")), (c("bx"), c("by")), tuple(F.lit(float(v)) for v in box))
+    crosses = ((c("ay") > y) != (c("by") > y)) & ((c("bx") - c("ax")) * (y - c("ay")) / F.nullif(c("by") - c("ay"), F.lit(0.0)) + c("ax") > x)
+    met = edges.groupBy(key).agg(F.max((lo <= hi).cast("int")).alias("meets"), F.sum(F.coalesce(crosses, F.lit(False)).cast("int")).alias("crossings"))
+    return met.filter("meets = 1 or crossings % 2 = 1").select(key)
 
 
 def clip_to_boxes(lines: DataFrame, boxes: DataFrame, cell: float = 32.0) -> DataFrame:
     """Pairs of a box and an edge that meets it, with the boxes' columns prefixed by r and the edge's length inside as `clipped`."""
+    same_crs(lines, boxes)
     b = boxes.withColumns({"_x0": F.col("xmin"), "_x1": F.col("xmax"), "_y0": F.col("ymin"), "_y1": F.col("ymax")})
     near = grid_join(_bounds(lines, 0.0), b, cell)
     c = F.col

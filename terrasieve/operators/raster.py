@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrasieve.functions.geometry import point_edge_distance2
 
@@ -29,13 +30,18 @@ def chunked(pixels: DataFrame, size: int) -> DataFrame:
 
 
 def rasterise(edges: DataFrame, distance: float) -> DataFrame:
-    """(row, col) of unit pixels whose centre lies within distance of an edge. Every edge lists its own candidates; no join is needed."""
+    """(row, col) of unit pixels whose centre lies within distance of an edge. Every edge lists its own candidates, row by row only the
+    columns near it, so they grow with its length, not with its box; no join is needed."""
     e = edges.select(*[F.col(c).cast("double").alias(c) for c in ("ax", "ay", "bx", "by")])
-    low = lambda a, b: F.floor(F.least(a, b) - distance - 0.5).cast("long")
-    high = lambda a, b: F.ceil(F.greatest(a, b) + distance).cast("long")
-    e = e.select("*", F.explode(F.sequence(low("ax", "bx"), high("ax", "bx"))).alias("col"))
-    e = e.select("*", F.explode(F.sequence(low("ay", "by"), high("ay", "by"))).alias("row"))
-    near = point_edge_distance2(F.col("col") + 0.5, F.col("row") + 0.5, *[F.col(c) for c in ("ax", "ay", "bx", "by")]) <= distance * distance
+    c, d = F.col, F.lit(float(distance))
+    rows = F.sequence(F.floor(F.least("ay", "by") - d - 0.5).cast("long"), F.ceil(F.greatest("ay", "by") + d).cast("long"))
+    e = e.select("*", F.explode(rows).alias("row"))
+    rise, centre = F.nullif(c("by") - c("ay"), F.lit(0.0)), c("row") + 0.5
+    t = [F.when(rise.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), (centre + s * d - c("ay")) / rise))) for s in (-1, 1)]  # where it passes the row's band
+    x = [F.coalesce(c("ax") + k * (c("bx") - c("ax")), other) for k, other in zip(t, (c("ax"), c("bx")), strict=True)]
+    cols = F.sequence(F.floor(F.least(*x) - d - 0.5).cast("long"), F.ceil(F.greatest(*x) + d).cast("long"))
+    e = e.select("*", F.explode(cols).alias("col"))
+    near = point_edge_distance2(c("col") + 0.5, centre, c("ax"), c("ay"), c("bx"), c("by")) <= distance * distance
     return e.filter(near).select("row", "col").distinct()
 
 
@@ -49,15 +55,7 @@ def upsample(images: DataFrame, width: int, height: int, factor: int, array_col:
     """Bilinear: images with a row-major array give (…, row, col, value) on a grid `factor` times as fine. Edges are clamped."""
     grid = images.select("*", F.explode(F.sequence(F.lit(0), F.lit(height * factor - 1))).alias("row"))
     grid = grid.select("*", F.explode(F.sequence(F.lit(0), F.lit(width * factor - 1))).alias("col"))
-    y, x = (F.col("row") + 0.5) / factor - 0.5, (F.col("col") + 0.5) / factor - 0.5
-    y0, x0 = F.floor(y), F.floor(x)
-    fy, fx = y - y0, x - x0
-
-    def at(r: Column, c: Column) -> Column:
-        r, c = F.least(F.greatest(r, F.lit(0)), F.lit(height - 1)), F.least(F.greatest(c, F.lit(0)), F.lit(width - 1))
-        return F.get(F.col(array_col), (r * width + c).cast("int")).cast("double")
-
-    value = at(y0, x0) * (1 - fx) * (1 - fy) + at(y0, x0 + 1) * fx * (1 - fy) + at(y0 + 1, x0) * (1 - fx) * fy + at(y0 + 1, x0 + 1) * fx * fy
+    value = _bilinear(F.col(array_col), width, height, (F.col("row") + 0.5) / factor - 0.5, (F.col("col") + 0.5) / factor - 0.5)
     return grid.withColumn("value", value).drop(array_col)
 
 
@@ -94,10 +92,92 @@ def dice(counts: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2 * counts["both"] / total)
 
 
+def confusion(predicted: Column, target: Column, threshold: float = 0.5) -> Column:
+    """tp, fp, fn or tn of a pixel; a prediction just at the threshold is tn, as it is neither above nor below."""
+    return F.when((predicted > threshold) & (target > 0), "tp").when(predicted > threshold, "fp").when((predicted < threshold) & (target > 0), "fn").otherwise("tn")
+
+
+def medians(values: DataFrame, buckets: int = 4096) -> DataFrame:
+    """values (metric, v) as (metric, median), exact. Equal values are counted first, counts are summed in equal buckets between the least and
+    the greatest, and only the buckets that hold the middle are sorted; nulls don't count."""
+    counted = values.filter("v is not null").groupBy("metric", "v").agg(F.count(F.lit(1)).alias("n"))
+    ends = counted.groupBy("metric").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.sum("n").alias("total"))  # a row a metric
+    place = F.coalesce(F.least(F.floor((F.col("v") - F.col("least")) / F.nullif(F.col("most") - F.col("least"), F.lit(0.0)) * buckets), F.lit(buckets - 1)), F.lit(0))
+    placed = counted.join(F.broadcast(ends), "metric").withColumn("b", place)
+    before = Window.partitionBy("metric").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
+    sizes = placed.groupBy("metric", "b").agg(F.sum("n").alias("held"), F.first("total").alias("total"))
+    sizes = sizes.withColumn("at", F.coalesce(F.sum("held").over(before), F.lit(0)))
+    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
+    middle = sizes.filter((F.col("at") <= high) & (F.col("at") + F.col("held") > low)).select("metric", "b", "at")
+    inside = Window.partitionBy("metric", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed.join(F.broadcast(middle), ["metric", "b"]).withColumn("at", F.col("at") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    holds = lambda rank: (F.col("at") <= rank) & (rank < F.col("at") + F.col("n"))
+    picked = ranked.groupBy("metric").agg(F.max(F.when(holds(low), F.col("v"))).alias("l"), F.max(F.when(holds(high), F.col("v"))).alias("h"))
+    return picked.select("metric", ((F.col("l") + F.col("h")) / 2).alias("median"))
+
+
 def five_numbers(df: DataFrame, *names: str) -> DataFrame:
     """Mean, median, least, greatest and population deviation of each column, a row for each."""
     each = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("v")) for n in names])).alias("m")).select("m.metric", "m.v")
-    return each.groupBy("metric").agg(F.avg("v").alias("mean"), F.median("v").alias("median"), F.min("v").alias("least"), F.max("v").alias("greatest"), F.stddev_pop("v").alias("std"))
+    rest = each.groupBy("metric").agg(F.avg("v").alias("mean"), F.min("v").alias("least"), F.max("v").alias("greatest"), F.stddev_pop("v").alias("std"))
+    return rest.join(medians(each), "metric", "left")
+
+
+def display_scaled(pixels: Column, is_byte: Column) -> Column:
+    """An array of pixels as 0 to 1: bytes over 255, others from their least to their greatest."""
+    low, high = F.array_min(pixels), F.array_max(pixels)
+    return F.when(is_byte, F.transform(pixels, lambda v: v / 255.0)).otherwise(F.transform(pixels, lambda v: (v - low) / (high - low + 1e-8)))
+
+
+def band_subset(bands: Column, *numbers: int) -> Column:
+    """Bands by number from 1, in that order: (1, 2, 3) leaves the colours, (3, 2, 1) turns them round."""
+    return F.array(*[F.get(bands, F.lit(n - 1)) for n in numbers])
+
+
+def by_pixel(bands: Column) -> Column:
+    """An array of bands, each an array of pixels, as an array of pixels, each an array of bands."""
+    return F.transform(F.sequence(F.lit(0), F.size(F.get(bands, F.lit(0))) - 1), lambda i: F.transform(bands, lambda b: F.get(b, i)))
+
+
+def window_of(pixels: Column, width: int, height: int, row_off: Column, col_off: Column, rows: int, cols: int, fill: float = 0.0) -> Column:
+    """A window of a row-major array, which may lie outside the image; fill stands there."""
+
+    def at(i: Column) -> Column:
+        r, c = row_off + F.floor(i / cols), col_off + i % cols
+        inside = (r >= 0) & (r < height) & (c >= 0) & (c < width)
+        return F.when(inside, F.get(pixels, (r * width + c).cast("int"))).otherwise(F.lit(fill))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(rows * cols - 1)), at)
+
+
+def _bilinear(pixels: Column, width: int, height: int, y: Column, x: Column) -> Column:
+    """The value at a place between pixel centres of a row-major array; edges are clamped."""
+    y0, x0 = F.floor(y), F.floor(x)
+    fy, fx = y - y0, x - x0
+
+    def at(r: Column, c: Column) -> Column:
+        r, c = F.least(F.greatest(r, F.lit(0)), F.lit(height - 1)), F.least(F.greatest(c, F.lit(0)), F.lit(width - 1))
+        return F.get(pixels, (r * width + c).cast("int")).cast("double")
+
+    return at(y0, x0) * (1 - fx) * (1 - fy) + at(y0, x0 + 1) * fx * (1 - fy) + at(y0 + 1, x0) * (1 - fx) * fy + at(y0 + 1, x0 + 1) * fx * fy
+
+
+def upsampled(pixels: Column, width: int, height: int, factor: int) -> Column:
+    """A row-major array on a grid `factor` times as fine, bilinear."""
+    wide = width * factor
+    return F.transform(F.sequence(F.lit(0), F.lit(wide * height * factor - 1)), lambda i: _bilinear(pixels, width, height, (F.floor(i / wide) + 0.5) / factor - 0.5, (i % wide + 0.5) / factor - 0.5))
+
+
+def add_band(images: DataFrame, extra: DataFrame, key: str, bands: str = "bands") -> DataFrame:
+    """images with three bands get the pixels of extra (key, pixels) of the same key as a fourth, zeros where it has none; status is `added`.
+    Images with four bands stay as they are (`has four`), and so do others (`skipped`)."""
+    own = extra.select(F.col(key).alias("_key"), F.col("pixels").alias("_extra"))
+    n = F.size(bands)
+    zeros = F.transform(F.get(F.col(bands), F.lit(0)), lambda _: F.lit(0.0))
+    joined = images.join(own, F.col(key) == F.col("_key"), "left")
+    status = F.when(n == 3, "added").when(n == 4, "has four").otherwise("skipped")
+    more = F.when(n == 3, F.concat(F.col(bands), F.array(F.coalesce("_extra", zeros)))).otherwise(F.col(bands))
+    return joined.withColumn("status", status).withColumn(bands, more).drop("_key", "_extra")
 
 
 def band_statistics(pixels: DataFrame, band: str = "band", value: str = "value") -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terrasieve.functions.staging import stage
+
 
 def hash_ranked(df: DataFrame, key: str, seed: int, name: str = "rank") -> DataFrame:
     """df with the rank from 0 of each row in the order of md5(key, seed), then key. Ranks are counted in 4096 buckets of the hash, so no
@@ -67,14 +72,49 @@ def early_stop(history: DataFrame, patience: int, run: str = "run_id", epoch: st
 
 def plateau_rate(history: DataFrame, rate: float, patience: int, factor: float = 0.5, relative: float = 1e-3, run: str = "run_id", epoch: str = "epoch", loss: str = "val_loss") -> DataFrame:
     """Per run: the learning rate after its last epoch. It falls by factor once more than patience epochs in a row weren't better than
-    best * (1 - relative). A run's epochs are one array: their number is small."""
-    losses = F.transform(F.array_sort(F.collect_list(F.struct(epoch, loss))), lambda x: x[loss].cast("double"))
-    zero = F.struct(F.lit(None).cast("double").alias("best"), F.lit(0).alias("bad"), F.lit(rate).alias("rate"))
-
-    def step(s: Column, x: Column) -> Column:
-        better = s["best"].isNull() | (x < s["best"] * (1 - relative))
-        bad = F.when(better, F.lit(0)).otherwise(s["bad"] + 1)
-        drop = bad > patience
-        return F.struct(F.when(better, x).otherwise(s["best"]).alias("best"), F.when(drop, F.lit(0)).otherwise(bad).alias("bad"), F.when(drop, s["rate"] * factor).otherwise(s["rate"]).alias("rate"))
-
-    return history.groupBy(run).agg(F.aggregate(losses, zero, step, lambda s: s["rate"]).alias("rate"))
+    best * (1 - relative); a null loss isn't better. A run's epochs stream by in order, so its length needs no memory."""
+    kind = history.schema[run].dataType.simpleString()
+    ordered = history.select(F.col(run).alias("run"), F.col(epoch).alias("epoch"), F.col(loss).cast("double").alias("loss")).repartition("run").sortWithinPartitions("run", "epoch", "loss")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, begun, best, bad, now = None, False, None, 0, rate
+        for b in batches:
+            done: list[tuple] = []
+            for key, value in zip(b.column("run").to_pylist(), b.column("loss").to_pylist(), strict=True):
+                if not begun or key != held:
+                    if begun:
+                        done.append((held, now))
+                    held, begun, best, bad, now = key, True, None, 0, rate
+                if value is not None and (best is None or value < best * (1 - relative)):
+                    best, bad = value, 0
+                else:
+                    bad += 1
+                if bad > patience:
+                    bad, now = 0, now * factor
+            kept = b.schema.field(0).type
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], kept), pa.array([v for _, v in done], pa.float64())], names=["run", "rate"])
+        if begun:
+            yield pa.RecordBatch.from_arrays([pa.array([held], kept), pa.array([now], pa.float64())], names=["run", "rate"])
+
+    return ordered.mapInArrow(fold, f"run {kind}, rate double").select(F.col("run").alias(run), "rate")
+
+
+def latest_by_time(files: DataFrame, suffix: str, name: str = "file_name", modified: str = "modified") -> DataFrame:
+    """One row: the name, of those with the suffix, that was changed last; of several the greatest name. No such name gives a null."""
+    own = files.filter(F.col(name).endswith(suffix))
+    return own.agg(F.max(F.struct(F.col(modified).alias("m"), F.col(name).alias("n"))).alias("x")).select(F.col("x.n").alias(name))
+
+
+def in_order(df: DataFrame, key: str, name: str = "z_order") -> DataFrame:
+    """df with the rank from 0 of each row by key, as a mosaic's order. Rows are dealt out by ranges of key and counted, so no task sees all;
+    equal keys get ranks side by side."""
+    dealt = stage(df.repartitionByRange(F.col(key).asc_nulls_first()).withColumn("_p", F.spark_partition_id()), "in-order")
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    sizes = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy(F.col(key).asc_nulls_first())) - 1
+    return dealt.withColumn("_r", inside).join(F.broadcast(sizes), "_p").withColumn(name, (F.col("_at") + F.col("_r")).cast("long")).drop("_p", "_r", "_at")
+
+
+def shuffled(df: DataFrame, key: str, seed: int, name: str = "place") -> DataFrame:
+    """df with a place from 0 for each row, in an order that only the seed and the keys decide."""
+    return hash_ranked(df, key, seed, name)

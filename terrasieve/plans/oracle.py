@@ -35,28 +35,25 @@ def _with(views: str, body: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' * recursive}{', '.join(_VIEWS[v] for v in views.split())} {body}"
 
 
-def _intervals(source: str, mask: str) -> str:
-    """Covered intervals of source edges by capsules of 3 round mask edges, then inside and outside."""
+def _intervals(source: str, mask: str, n: str = "") -> str:
+    """Covered intervals of source edges by capsules of 3 round mask edges, then inside and outside. n: ends the names of its parts."""
     return f"""
-        , pair AS (SELECT x.id, x.ax, x.ay, x.bx - x.ax AS vx, x.by_ - x.ay AS vy, y.bx - y.ax AS wx, y.by_ - y.ay AS wy, x.ax - y.ax AS ux, x.ay - y.ay AS uy, x.ax - y.bx AS zx, x.ay - y.by_ AS zy
+        , pair{n} AS (SELECT x.id, x.ax, x.ay, x.bx - x.ax AS vx, x.by_ - x.ay AS vy, y.bx - y.ax AS wx, y.by_ - y.ay AS wy, x.ax - y.ax AS ux, x.ay - y.ay AS uy, x.ax - y.bx AS zx, x.ay - y.by_ AS zy
             FROM {source} x JOIN {mask} y ON least(x.ax, x.bx) <= greatest(y.ax, y.bx) + 3 AND greatest(x.ax, x.bx) >= least(y.ax, y.bx) - 3 AND least(x.ay, x.by_) <= greatest(y.ay, y.by_) + 3 AND greatest(x.ay, x.by_) >= least(y.ay, y.by_) - 3),
-        k AS (SELECT id, vx * vx + vy * vy AS a, vx * ux + vy * uy AS rb, ux * ux + uy * uy - 9 AS rc, vx * zx + vy * zy AS sb, zx * zx + zy * zy - 9 AS sc, ux * wx + uy * wy AS l0, vx * wx + vy * wy AS l1, ux * wy - uy * wx AS c0, vx * wy - vy * wx AS c1, wx * wx + wy * wy AS ww FROM pair),
-        t AS (SELECT id, CASE WHEN rb * rb - a * rc >= 0 THEN (-rb - sqrt(rb * rb - a * rc)) / a END AS r0, CASE WHEN rb * rb - a * rc >= 0 THEN (-rb + sqrt(rb * rb - a * rc)) / a END AS r1,
+        k{n} AS (SELECT id, vx * vx + vy * vy AS a, vx * ux + vy * uy AS rb, ux * ux + uy * uy - 9 AS rc, vx * zx + vy * zy AS sb, zx * zx + zy * zy - 9 AS sc, ux * wx + uy * wy AS l0, vx * wx + vy * wy AS l1, ux * wy - uy * wx AS c0, vx * wy - vy * wx AS c1, wx * wx + wy * wy AS ww FROM pair{n}),
+        t{n} AS (SELECT id, CASE WHEN rb * rb - a * rc >= 0 THEN (-rb - sqrt(rb * rb - a * rc)) / a END AS r0, CASE WHEN rb * rb - a * rc >= 0 THEN (-rb + sqrt(rb * rb - a * rc)) / a END AS r1,
             CASE WHEN sb * sb - a * sc >= 0 THEN (-sb - sqrt(sb * sb - a * sc)) / a END AS s0, CASE WHEN sb * sb - a * sc >= 0 THEN (-sb + sqrt(sb * sb - a * sc)) / a END AS s1,
             greatest(CASE WHEN l1 = 0 THEN CASE WHEN l0 BETWEEN 0 AND ww THEN -1e9 ELSE 1e9 END ELSE least(-l0 / l1, (ww - l0) / l1) END, CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= 3 * sqrt(ww) THEN -1e9 ELSE 1e9 END ELSE least((-3 * sqrt(ww) - c0) / c1, (3 * sqrt(ww) - c0) / c1) END) AS b0,
-            least(CASE WHEN l1 = 0 THEN CASE WHEN l0 BETWEEN 0 AND ww THEN 1e9 ELSE -1e9 END ELSE greatest(-l0 / l1, (ww - l0) / l1) END, CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= 3 * sqrt(ww) THEN 1e9 ELSE -1e9 END ELSE greatest((-3 * sqrt(ww) - c0) / c1, (3 * sqrt(ww) - c0) / c1) END) AS b1 FROM k),
-        hu AS (SELECT id, least(r0, s0, CASE WHEN b0 <= b1 THEN b0 END) AS h0, greatest(r1, s1, CASE WHEN b0 <= b1 THEN b1 END) AS h1 FROM t),
-        iv AS (SELECT id, greatest(0.0, h0) AS lo, least(1.0, h1) AS hi FROM hu WHERE h0 IS NOT NULL),
-        cov AS (SELECT id, lo, hi, max(hi) OVER (PARTITION BY id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rm FROM iv),
-        su AS (SELECT id, sum(greatest(0, hi - greatest(lo, coalesce(rm, lo)))) AS part FROM cov GROUP BY 1),
-        sp AS (SELECT x.id, sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) AS length, coalesce(part, 0) AS part FROM {source} x LEFT JOIN su ON su.id = x.id)"""
+            least(CASE WHEN l1 = 0 THEN CASE WHEN l0 BETWEEN 0 AND ww THEN 1e9 ELSE -1e9 END ELSE greatest(-l0 / l1, (ww - l0) / l1) END, CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= 3 * sqrt(ww) THEN 1e9 ELSE -1e9 END ELSE greatest((-3 * sqrt(ww) - c0) / c1, (3 * sqrt(ww) - c0) / c1) END) AS b1 FROM k{n}),
+        hu{n} AS (SELECT id, least(r0, s0, CASE WHEN b0 <= b1 THEN b0 END) AS h0, greatest(r1, s1, CASE WHEN b0 <= b1 THEN b1 END) AS h1 FROM t{n}),
+        iv{n} AS (SELECT id, greatest(0.0, h0) AS lo, least(1.0, h1) AS hi FROM hu{n} WHERE h0 IS NOT NULL),
+        cov{n} AS (SELECT id, lo, hi, max(hi) OVER (PARTITION BY id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rm FROM iv{n}),
+        su{n} AS (SELECT id, sum(greatest(0, hi - greatest(lo, coalesce(rm, lo)))) AS part FROM cov{n} GROUP BY 1),
+        sp{n} AS (SELECT x.id, sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) AS length, coalesce(part, 0) AS part FROM {source} x LEFT JOIN su{n} ON su{n}.id = x.id)"""
 
 
 _TOTALS = _intervals("p", "e") + ", tf AS (SELECT sum(length * part) AS tp, sum(length * (1 - part)) AS fp FROM sp)"
-_FN = _intervals("e", "p").replace("pair AS", "pair2 AS").replace("FROM pair)", "FROM pair2)")
-for _name in ("k", "t", "hu", "iv", "cov", "su", "sp"):
-    _FN = _FN.replace(f" {_name} AS (", f" {_name}2 AS (").replace(f"FROM {_name})", f"FROM {_name}2)").replace(f"FROM {_name} GROUP", f"FROM {_name}2 GROUP").replace(f"FROM {_name} WHERE", f"FROM {_name}2 WHERE")
-_FN = _FN.replace("LEFT JOIN su ON su.id", "LEFT JOIN su2 ON su2.id")
+_FN = _intervals("e", "p", "2")
 
 _MEANS = ", ".join(f"round(avg({c}), 4) AS {c}" for c in ("precision", "recall", "f1_score"))
 
@@ -92,7 +89,7 @@ SQL: dict[str, str] = {
         d AS (SELECT DISTINCT row, col FROM h WHERE row >= 0 AND col >= 0 AND (col + 0.5::DOUBLE - greatest(least(ax, bx), least(greatest(ax, bx), col + 0.5::DOUBLE)))^2 + (row + 0.5::DOUBLE - greatest(least(ay, by_), least(greatest(ay, by_), row + 0.5::DOUBLE)))^2 <= 0.5625)
         SELECT x.cx, y.cy, count(*) AS mask_pixels FROM d JOIN (SELECT unnest(range(0, 1000)) AS cx) x ON col >= x.cx * 24 AND col < x.cx * 24 + 32 JOIN (SELECT unnest(range(0, 100000)) AS cy) y ON row >= y.cy * 24 AND row < y.cy * 24 + 32 GROUP BY 1, 2"""),
     "q_downscale": _with("v", "SELECT vec_id, i // 8 // 2 AS row, i % 8 // 2 AS col, round(avg(value), 6) AS value FROM v GROUP BY 1, 2, 3"),
-    "q_upsample_band": """WITH s AS (SELECT a.vec_id, a.embedding AS px FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1), g AS (SELECT *, unnest(range(0, 16)) AS r FROM s), f AS (SELECT *, unnest(range(0, 16)) AS c FROM g),
+    "q_upsample_band": """WITH s AS (SELECT vec_id, embedding AS px FROM embeddings), g AS (SELECT *, unnest(range(0, 16)) AS r FROM s), f AS (SELECT *, unnest(range(0, 16)) AS c FROM g),
         k AS (SELECT *, (r + 0.5::DOUBLE) / 2 - 0.5::DOUBLE AS y, (c + 0.5::DOUBLE) / 2 - 0.5::DOUBLE AS x FROM f),
         w AS (SELECT *, greatest(0, floor(y))::INT AS y0, least(7, floor(y) + 1)::INT AS y1, greatest(0, floor(x))::INT AS x0, least(7, floor(x) + 1)::INT AS x1, y - floor(y) AS fy, x - floor(x) AS fx FROM k),
         o AS (SELECT vec_id, px[y0 * 8 + x0 + 1]::DOUBLE * (1 - fx) * (1 - fy) + px[y0 * 8 + x1 + 1]::DOUBLE * fx * (1 - fy) + px[y1 * 8 + x0 + 1]::DOUBLE * (1 - fx) * fy + px[y1 * 8 + x1 + 1]::DOUBLE * fx * fy AS val FROM w)
@@ -101,7 +98,7 @@ SQL: dict[str, str] = {
     "q_normalise": _with("v", """SELECT vec_id, (i % 4)::VARCHAR AS band, round(sum((value * 255 - CASE i % 4 WHEN 0 THEN 0.48 WHEN 1 THEN 0.46 WHEN 2 THEN 0.41 ELSE 0.5 END::DOUBLE * 255) / (CASE i % 4 WHEN 0 THEN 0.22 WHEN 1 THEN 0.21 WHEN 2 THEN 0.2 ELSE 0.25 END::DOUBLE * 255)), 4) AS total FROM v GROUP BY 1, 2"""),
     "q_scaler": _with("v", "SELECT i % 4 AS band, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM v GROUP BY 1"),
     "q_display_scale": _with("v", """, r AS (SELECT vec_id, min(value) AS lo, max(value) AS hi FROM v GROUP BY 1), x AS (SELECT r.vec_id, round(sum((value - lo) / (hi - lo + 1e-8)), 5) AS total FROM v JOIN r ON r.vec_id = v.vec_id GROUP BY 1)
-        SELECT x.vec_id, total FROM x JOIN embeddings b ON b.vec_id = x.vec_id + 1"""),
+        SELECT vec_id, total FROM x"""),
     "q_pairs_semi": _with("c m", "SELECT file_name FROM c WHERE file_name IN (SELECT file_name FROM m)"),
     "q_missing_anti": _with("c m", "SELECT file_name FROM c WHERE file_name NOT IN (SELECT file_name FROM m)"),
     "q_missing_zeros": _with("e p l", ", k AS (SELECT id % 50 AS k, count(*) AS n FROM l WHERE pred_result = 'FP' GROUP BY 1) SELECT n_nationkey, coalesce(n, 0) AS n FROM nation LEFT JOIN k ON k = n_nationkey"),
@@ -119,6 +116,46 @@ SQL: dict[str, str] = {
     "q_prefix_strip": "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name || '.w' ELSE p_name || '._orig_mod.w' END AS key FROM part",
     "q_outcome_counts": "SELECT sum((o_orderstatus = 'F')::INT)::BIGINT AS success, count(*) AS total, count(*) - sum((o_orderstatus = 'F')::INT)::BIGINT AS failed FROM orders",
     "q_union_scans": _with("c", "SELECT file_name FROM c"),
-    "q_report_text": _with("mo", "SELECT name, upper(name[1:8]) AS day, replace(name, '.pth', '_analysis.png') AS plot, format('{:,.1f}', length(name) * 1234.56::DOUBLE) AS size FROM mo ORDER BY name DESC LIMIT 20"),
+    "q_report_text": _with("mo", "SELECT name, upper(name[1:8]) AS day, replace(name, '.pth', '_analysis.png') AS plot, format('{:,.1f}', length(name) * 1234.56::DOUBLE) AS size FROM mo"),
+    "q_ratio_split_kept": _with("c b f", """, x AS (SELECT file_name FROM f WHERE keep), r AS (SELECT file_name, row_number() OVER (ORDER BY md5(file_name || '|42'), file_name) - 1 AS rk, (SELECT count(*) FROM x) AS n FROM x)
+        SELECT file_name, CASE WHEN rk < floor(n * 0.7 + 1e-9) THEN 'train' WHEN rk < floor(n * 0.7 + 1e-9) + floor(n * 0.2 + 1e-9) THEN 'val' ELSE 'test' END AS split FROM r"""),
+    "q_dissolve_parts": _with("e p", """, a AS (SELECT 'truth' AS k, * FROM e UNION ALL SELECT 'predicted', * FROM p),
+        m AS (SELECT k, floor((ax + 0.25::DOUBLE) * 1000 + 0.5::DOUBLE)::BIGINT AS ax, floor((ay + 0.5::DOUBLE) * 1000 + 0.5::DOUBLE)::BIGINT AS ay, floor((bx + 0.25::DOUBLE) * 1000 + 0.5::DOUBLE)::BIGINT AS bx, floor((by_ + 0.5::DOUBLE) * 1000 + 0.5::DOUBLE)::BIGINT AS by_ FROM a),
+        u AS (SELECT *, CASE WHEN bx < ax OR (bx = ax AND by_ < ay) THEN -1 ELSE 1 END * ((bx - ax) // gcd(abs(bx - ax), abs(by_ - ay))) AS ux, CASE WHEN bx < ax OR (bx = ax AND by_ < ay) THEN -1 ELSE 1 END * ((by_ - ay) // gcd(abs(bx - ax), abs(by_ - ay))) AS uy FROM m WHERE ax <> bx OR ay <> by_),
+        o AS (SELECT k, ux, uy, ux * ay - uy * ax AS off, least(ux * ax + uy * ay, ux * bx + uy * by_) AS lo, greatest(ux * ax + uy * ay, ux * bx + uy * by_) AS hi FROM u),
+        w AS (SELECT *, CASE WHEN lo > coalesce(max(hi) OVER (PARTITION BY k, ux, uy, off ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo - 1) THEN 1 ELSE 0 END AS fresh FROM o),
+        g AS (SELECT *, sum(fresh) OVER (PARTITION BY k, ux, uy, off ORDER BY lo, hi) AS part FROM w),
+        z AS (SELECT k, ux, uy, off, min(lo) AS lo, max(hi) AS hi, (ux * ux + uy * uy)::DOUBLE AS n2 FROM g GROUP BY k, ux, uy, off, part)
+        SELECT k, round((ux::HUGEINT * lo - uy::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS x0, round((uy::HUGEINT * lo + ux::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS y0, round((ux::HUGEINT * hi - uy::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS x1, round((uy::HUGEINT * hi + ux::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS y1,
+        round((hi - lo) / sqrt(n2) / 1000, 3) AS length FROM z"""),
+    "q_box_filter": _with("e p", """, i AS (SELECT id, greatest(0.0, CASE WHEN bx = ax THEN CASE WHEN ax BETWEEN 33.5 AND 78 THEN 0.0 ELSE 9.0 END ELSE least((33.5::DOUBLE - ax) / (bx - ax), (78 - ax) / (bx - ax)) END, CASE WHEN by_ = ay THEN CASE WHEN ay BETWEEN 41.25 AND 96.5 THEN 0.0 ELSE 9.0 END ELSE least((41.25::DOUBLE - ay) / (by_ - ay), (96.5::DOUBLE - ay) / (by_ - ay)) END) AS t0,
+        least(1.0, CASE WHEN bx = ax THEN 1.0 ELSE greatest((33.5::DOUBLE - ax) / (bx - ax), (78 - ax) / (bx - ax)) END, CASE WHEN by_ = ay THEN 1.0 ELSE greatest((41.25::DOUBLE - ay) / (by_ - ay), (96.5::DOUBLE - ay) / (by_ - ay)) END) AS t1 FROM p)
+        SELECT 'line' AS layer, id FROM i WHERE t0 <= t1 UNION ALL SELECT 'parcel', p_partkey FROM part WHERE (p_partkey % 20) * 10 <= 78 AND (p_partkey % 20) * 10 + 10 >= 33.5 AND (p_partkey // 20) * 10 <= 96.5 AND (p_partkey // 20) * 10 + 10 >= 41.25"""),
+    "q_box_inside": "SELECT p_partkey AS id FROM part WHERE (p_partkey % 20) * 10 <= 43 AND (p_partkey % 20) * 10 + 10 >= 42.5 AND (p_partkey // 20) * 10 <= 53.25 AND (p_partkey // 20) * 10 + 10 >= 53",
+    "q_crs_labels": _with("e p", "SELECT 'split' AS layer, count(*) AS n FROM p UNION ALL SELECT 'EPSG:27700', count(*) FROM e"),
+    "q_chip_index": """WITH s AS (SELECT n_nationkey AS n, n_nationkey * 97 + 400 AS width, n_nationkey * 41 + 700 AS height, CASE WHEN n_nationkey % 2 = 0 THEN 0.25 ELSE 0.5 END::DOUBLE AS px FROM nation),
+        x AS (SELECT *, unnest(range(0, width, 384)) AS c FROM s), y AS (SELECT *, unnest(range(0, height, 384)) AS r FROM x)
+        SELECT 'chip_' || n || '_' || c || '_' || r || '.tif' AS file_name, n * 1000 + 400000 + px * c AS xmin, 300000 - n * 500 - px * r - px * least(512, height - r) AS ymin, n * 1000 + 400000 + px * c + px * least(512, width - c) AS xmax, 300000 - n * 500 - px * r AS ymax FROM y""",
+    "q_display_bytes": """WITH x AS (SELECT vec_id, embedding::DOUBLE[] AS px FROM embeddings), b AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN list_transform(px, lambda v: (floor(abs(v) * 1000)::BIGINT % 256) / 255::DOUBLE) ELSE list_transform(px, lambda v: (v - list_min(px)) / (list_max(px) - list_min(px) + 1e-8)) END AS s FROM x)
+        SELECT vec_id, round(list_sum(s), 5) AS total FROM b""",
+    "q_stack_bands": """WITH x AS (SELECT vec_id, embedding::DOUBLE[] AS px, 2 + vec_id % 3 AS n FROM embeddings), f AS (SELECT vec_id, unnest(range(0, 16)) AS i FROM x WHERE n = 3 AND vec_id % 7 <> 0),
+        g AS (SELECT f.vec_id, i, px[61:64] AS q, (i // 4 + 0.5::DOUBLE) / 2 - 0.5::DOUBLE AS y, (i % 4 + 0.5::DOUBLE) / 2 - 0.5::DOUBLE AS z FROM f JOIN x ON x.vec_id = f.vec_id),
+        h AS (SELECT vec_id, i, q, greatest(0, floor(y))::INT AS y0, least(1, floor(y) + 1)::INT AS y1, greatest(0, floor(z))::INT AS z0, least(1, floor(z) + 1)::INT AS z1, y - floor(y) AS fy, z - floor(z) AS fz FROM g),
+        k AS (SELECT vec_id, list(q[y0 * 2 + z0 + 1] * (1 - fz) * (1 - fy) + q[y0 * 2 + z1 + 1] * fz * (1 - fy) + q[y1 * 2 + z0 + 1] * (1 - fz) * fy + q[y1 * 2 + z1 + 1] * fz * fy ORDER BY i) AS fine FROM h GROUP BY 1),
+        l AS (SELECT x.vec_id, n, CASE WHEN n <> 3 THEN px[(n - 1) * 16 + 1:n * 16] WHEN fine IS NULL THEN list_transform(range(16), lambda _: 0.0::DOUBLE) ELSE fine END AS last FROM x LEFT JOIN k ON k.vec_id = x.vec_id)
+        SELECT vec_id, CASE n WHEN 3 THEN 'added' WHEN 4 THEN 'has four' ELSE 'skipped' END AS status, CASE WHEN n = 3 THEN 4 ELSE n END::INT AS bands, round(list_sum(last), 4) AS total, round(last[6], 6) AS sixth FROM l""",
+    "q_band_order": """WITH x AS (SELECT vec_id, embedding::DOUBLE[] AS px, unnest(range(0, 16))::INT AS i FROM embeddings WHERE vec_id % 3 > 0) SELECT vec_id, i, px[33 + i] AS blue, px[17 + i] AS green, px[1 + i] AS red FROM x""",
+    "q_boundless_window": """WITH x AS (SELECT vec_id, embedding::DOUBLE[] AS px, unnest(range(0, 16)) AS i FROM embeddings), y AS (SELECT *, vec_id % 11 - 3 + i // 4 AS r, vec_id % 13 - 4 + i % 4 AS c FROM x),
+        z AS (SELECT vec_id, CASE WHEN r BETWEEN 0 AND 7 AND c BETWEEN 0 AND 7 THEN px[r * 8 + c + 1] ELSE 0 END AS v FROM y) SELECT vec_id, round(sum(v), 5) AS total, sum((v = 0)::INT)::INT AS zeros FROM z GROUP BY 1""",
+    "q_latest_mtime": "SELECT o_orderkey || '_boundaries.gpkg' AS file_name FROM orders WHERE o_orderkey % 5 <> 0 ORDER BY o_orderdate DESC, o_orderkey || '_boundaries.gpkg' DESC LIMIT 1",
+    "q_z_order": _with("c", "SELECT '/data/chips/' || file_name AS path, xmin, ymin, xmax, ymax, row_number() OVER (ORDER BY file_name) - 1 AS z_order FROM c"),
+    "q_seeded_shuffle": _with("c", "SELECT file_name, row_number() OVER (ORDER BY md5(file_name || '|11'), file_name) - 1 AS place FROM c"),
+    "q_flags_csv": _with("c b", "SELECT image_file, is_background_only FROM b"),
+    "q_scaler_json": _with("v", "SELECT (i % 4)::VARCHAR AS band, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM v GROUP BY 1"),
+    "q_append_log": "SELECT 'run: ' || r || ', n_name: ' || n_name || ', score: ' || n_nationkey * r AS value FROM nation, (SELECT unnest([1, 2]) AS r)",
+    "q_overwrite_guard": "SELECT r_regionkey AS key, true AS refused, (SELECT count(*) FROM nation) AS kept FROM region",
+    "q_lines_only": _with("e", "SELECT id FROM e WHERE id % 7 IN (3, 5, 6)"),
     "q_gpkg_roundtrip": _with("e", "SELECT id, ax AS x0, ay AS y0, bx AS x1, by_ AS y1 FROM e"),
 }
+
+SQL |= {f"q_{name}_all": SQL[f"q_{name}"] for name in ("report_text", "display_scale", "upsample_band")}

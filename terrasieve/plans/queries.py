@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from terrasieve.operators import raster as R
 from terrasieve.operators import selection as C
 from terrasieve.operators.kernels import thin_chunks, trace_lines
 from terrasieve.plans import fixtures as V
-from terrasieve.sources import geopackage, wkb
+from terrasieve.sources import files, geopackage, wkb
 
 BUFFER, MASK_BUFFER = 3.0, 0.75
 CHUNK = 2048  # pixels, as in the reference
@@ -112,6 +113,52 @@ def dissolve_len(spark, d):
     return L.dissolve(both, "k").select("k", F.round("length", 3).alias("length"))
 
 
+@query
+def dissolve_parts(spark, d):
+    """Merged lines of both layers, moved off the whole numbers."""
+    both = V.edges(spark, d).withColumn("k", F.lit("truth")).unionByName(V.predictions(spark, d).withColumn("k", F.lit("predicted")))
+    moved = both.select("k", *[(F.col(c) + m).alias(c) for c, m in (("ax", 0.25), ("ay", 0.5), ("bx", 0.25), ("by", 0.5))])
+    parts = L.dissolve_parts(moved, "k")
+    return parts.select("k", *[F.round(parts[c], 3).alias(n) for c, n in (("ax", "x0"), ("ay", "y0"), ("bx", "x1"), ("by", "y1"))], F.round("length", 3).alias("length"))
+
+
+BOX = (33.5, 41.25, 78.0, 96.5)
+
+
+@query
+def box_filter(spark, d):
+    """Predicted lines and parcels that meet one box, whole."""
+    lines = L.lines_in_box(V.predictions(spark, d), BOX).select(F.lit("line").alias("layer"), "id")
+    parcels = L.areas_in_box(V.edges(spark, d).withColumn("parcel", F.expr("id div 4")), BOX, "parcel")
+    return lines.unionByName(parcels.select(F.lit("parcel").alias("layer"), F.col("parcel").alias("id")))
+
+
+@query
+def box_inside(spark, d):
+    """Parcels that meet a box which lies inside one of them."""
+    return L.areas_in_box(V.edges(spark, d).withColumn("parcel", F.expr("id div 4")), (42.5, 53.0, 43.0, 53.25), "parcel").select(F.col("parcel").alias("id"))
+
+
+@query
+def crs_labels(spark, d):
+    """Two labelled layers are compared before they are joined; rows by label."""
+    p, e = L.with_crs(V.predictions(spark, d), "EPSG:27700"), L.with_crs(V.edges(spark, d), "EPSG:27700")
+    s = L.split_by_buffer(p, e, BUFFER).select("id", F.lit("split").alias("layer"))
+    return s.select("layer").unionByName(e.select(F.col("crs").alias("layer"))).groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def chip_index(spark, d):
+    """The boxes of chips from their affine and size."""
+    n = F.col("n_nationkey")
+    sized = V.table(spark, d, "nation").select("n_nationkey", (n * 97 + 400).alias("width"), (n * 41 + 700).alias("height"))
+    x0, y0, px = (n * 1000 + 400_000).cast("double"), (300_000 - n * 500).cast("double"), F.when(n % 2 == 0, 0.25).otherwise(0.5)
+    zero = F.lit(0.0)
+    box = G.box_of(F.col("tile_width"), F.col("tile_height"), (px, zero, x0 + px * F.col("col_off"), zero, -px, y0 - px * F.col("row_off")))
+    name = F.concat_ws("_", F.lit("chip"), "n_nationkey", "col_off", F.concat(F.col("row_off").cast("string"), F.lit(".tif")))
+    return R.tiles(sized).select(name.alias("file_name"), *[b.alias(c) for b, c in zip(box, ("xmin", "ymin", "xmax", "ymax"), strict=True)])
+
+
 @query
 def iou_dice(spark, d):
     n = V.probabilities(spark, d).select("vec_id", R.overlap_counts(F.col("prob"), F.col("mask")).alias("n"))
@@ -128,8 +175,7 @@ def eval_summary(spark, d):
 @query
 def confusion_pixels(spark, d):
     p = V.probabilities(spark, d).select("vec_id", F.explode(F.arrays_zip("prob", "mask")).alias("x"))
-    kind = F.when((F.col("x.prob") > 0.5) & (F.col("x.mask") > 0), "tp").when(F.col("x.prob") > 0.5, "fp").when((F.col("x.prob") < 0.5) & (F.col("x.mask") > 0), "fn").otherwise("tn")
-    return p.select("vec_id", kind.alias("kind")).groupBy("vec_id", "kind").agg(F.count(F.lit(1)).alias("pixels"))
+    return p.select("vec_id", R.confusion(F.col("x.prob"), F.col("x.mask")).alias("kind")).groupBy("vec_id", "kind").agg(F.count(F.lit(1)).alias("pixels"))
 
 
 @query
@@ -172,7 +218,7 @@ def downscale(spark, d):
 
 @query
 def upsample_band(spark, d):
-    return _upsampled(V.images(spark, d))
+    return _upsampled(V.vectors(spark, d))
 
 
 @query
@@ -196,9 +242,9 @@ def affine(spark, d):
 
 @query
 def normalise(spark, d):
-    scaler = F.from_json(F.lit(SCALER), "map<string,struct<mean:double,std:double>>")
+    scaler = files.scaler_of(F.lit(SCALER))
     p = V.pixel_rows(spark, d).select("vec_id", "row", "col", (F.col("col") % 4).cast("string").alias("band"), F.col("value"), scaler.alias("s"))
-    s = F.when(F.array_contains(F.map_keys("s"), F.col("band")), F.element_at("s", F.col("band"))).otherwise(F.raise_error(F.lit("the scaler lacks a band")))
+    s = F.element_at("s", F.col("band"))
     n = p.select("vec_id", "band", S.normalise(F.col("value") * 255, s["mean"], s["std"]).alias("v"))
     return n.groupBy("vec_id", "band").agg(F.round(F.sum("v"), 4).alias("total"))
 
@@ -211,7 +257,7 @@ def scaler(spark, d):
 
 @query
 def display_scale(spark, d):
-    return _displayed(V.images(spark, d))
+    return _displayed(V.vectors(spark, d))
 
 
 @query
@@ -220,9 +266,49 @@ def display_scale_all(spark, d):
 
 
 def _displayed(images: DataFrame) -> DataFrame:
-    p = images.select("vec_id", "pixels", F.array_min("pixels").alias("lo"), F.array_max("pixels").alias("hi"))
-    n = F.transform("pixels", lambda v: (v - F.col("lo")) / (F.col("hi") - F.col("lo") + 1e-8))
-    return p.select("vec_id", F.round(F.aggregate(n, F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+    n = R.display_scaled(F.col("pixels"), F.lit(False))
+    return images.select("vec_id", F.round(F.aggregate(n, F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+
+
+@query
+def display_bytes(spark, d):
+    """Images of bytes over 255, others by their own range."""
+    v = V.vectors(spark, d).select("vec_id", (F.col("vec_id") % 2 == 0).alias("is_byte"), "pixels")
+    as_bytes = F.transform("pixels", lambda x: F.floor(F.abs(x) * 1000) % 256 + F.lit(0.0))
+    v = v.withColumn("pixels", F.when(F.col("is_byte"), as_bytes).otherwise(F.col("pixels")))
+    n = R.display_scaled(F.col("pixels"), F.col("is_byte"))
+    return v.select("vec_id", F.round(F.aggregate(n, F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+
+
+def _banded(spark: SparkSession, d: str) -> DataFrame:
+    """Images of 4 x 4 pixels with 2, 3 or 4 bands from a vector's first 64 components."""
+    bands = F.transform(F.sequence(F.lit(0), (1 + F.col("vec_id") % 3).cast("int")), lambda i: F.slice("pixels", i * 16 + 1, 16))
+    return V.vectors(spark, d).select("vec_id", bands.alias("bands"))
+
+
+@query
+def stack_bands(spark, d):
+    """A finer fourth band is added to images of three; every seventh image has none and gets zeros."""
+    finer = R.upsampled(F.slice("pixels", 61, 4), 2, 2, 2)
+    extra = V.vectors(spark, d).filter("vec_id % 7 <> 0").select("vec_id", finer.alias("pixels"))
+    s = R.add_band(_banded(spark, d), extra, "vec_id")
+    last = F.element_at("bands", -1)
+    return s.select("vec_id", "status", F.size("bands").alias("bands"), F.round(F.aggregate(last, F.lit(0.0), lambda a, x: a + x), 4).alias("total"), F.round(F.element_at(last, 6), 6).alias("sixth"))
+
+
+@query
+def band_order(spark, d):
+    """Colours turned round and pixel by pixel: the bands of each pixel in one array."""
+    p = _banded(spark, d).filter(F.size("bands") > 2).select("vec_id", F.posexplode(R.by_pixel(R.band_subset(F.col("bands"), 3, 2, 1))).alias("i", "v"))
+    return p.select("vec_id", "i", *[F.get("v", F.lit(k)).alias(c) for k, c in enumerate(("blue", "green", "red"))])
+
+
+@query
+def boundless_window(spark, d):
+    """Windows of 4 x 4 pixels, some of them partly outside, where 0 stands."""
+    k = F.col("vec_id")
+    w = R.window_of(F.col("pixels"), 8, 8, (k % 11 - 3).cast("int"), (k % 13 - 4).cast("int"), 4, 4)
+    return V.vectors(spark, d).select("vec_id", F.round(F.aggregate(w, F.lit(0.0), lambda a, x: a + x), 5).alias("total"), F.size(F.filter(w, lambda x: x == 0.0)).alias("zeros"))
 
 
 @query
@@ -298,8 +384,8 @@ def union_scans(spark, d):
 
 @query
 def report_text(spark, d):
-    """The last 20 names alone, as its SQL has it; report_text_all has every row."""
-    return C.report_strings(V.models(spark, d).select("name").orderBy(F.desc("name")).limit(20))
+    """The strings of every row of models."""
+    return C.report_strings(V.models(spark, d))
 
 
 @query
@@ -323,3 +409,74 @@ def gpkg_roundtrip(spark, d):
     wkb.edge_lines(V.edges(spark, d)).write.format("gpkg").option("layer", "edges").mode("append").save(path)
     e = wkb.edges(spark.read.format("gpkg").option("layer", "edges").load(path), "id")
     return e.select("id", F.col("ax").alias("x0"), F.col("ay").alias("y0"), F.col("bx").alias("x1"), F.col("by").alias("y1"))
+
+
+@query
+def latest_mtime(spark, d):
+    """The file with the suffix that was changed last."""
+    name = F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 5 == 0, "_other.gpkg").otherwise("_boundaries.gpkg"))
+    return C.latest_by_time(V.table(spark, d, "orders").select(name.alias("file_name"), F.col("o_orderdate").alias("modified")), "_boundaries.gpkg")
+
+
+@query
+def z_order(spark, d):
+    """A mosaic's manifest: files with their place in it."""
+    c = V.chips(spark, d).select(F.concat(F.lit("/data/chips/"), "file_name").alias("path"), "xmin", "ymin", "xmax", "ymax")
+    return files.manifest(c)
+
+
+@query
+def seeded_shuffle(spark, d):
+    return C.shuffled(V.chips(spark, d).select("file_name"), "file_name", 11)
+
+
+@query
+def flags_csv(spark, d):
+    """Flags written as a CSV and read back as text."""
+    path = new_path(spark, "flags")
+    V.backgrounds(spark, d).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return files.background_flags(spark, path)
+
+
+@query
+def scaler_json(spark, d):
+    """Band statistics written as a JSON scaler and read back."""
+    path = new_path(spark, "scaler")
+    p = V.pixel_rows(spark, d).select((F.col("col") % 4).alias("band"), F.col("value"))
+    files.write_scaler(R.band_statistics(p), path)
+    s = files.read_scaler(spark, path).select(F.explode("scaler").alias("band", "s"))
+    return s.select("band", F.round("s.mean", 6).alias("mean"), F.round("s.std", 6).alias("std"))
+
+
+@query
+def append_log(spark, d):
+    """Two runs add their lines to one log."""
+    path = new_path(spark, "log")
+    for seed in (1, 2):
+        files.append_log(V.table(spark, d, "nation").select(F.lit(seed).alias("run"), "n_name", (F.col("n_nationkey") * seed).alias("score")), path)
+    return spark.read.text(path)
+
+
+@query
+def overwrite_guard(spark, d):
+    """A second write without leave is refused, and what is there stays; with leave it replaces it."""
+    path = new_path(spark, "guarded")
+    files.guarded(V.table(spark, d, "nation"), False).parquet(path)
+    try:
+        files.guarded(V.table(spark, d, "region"), False).parquet(path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    kept = spark.read.parquet(path).count()
+    files.guarded(V.table(spark, d, "region").select(F.col("r_regionkey").alias("key")), True).parquet(path)
+    return spark.read.parquet(path).select("key", F.lit(refused).alias("refused"), F.lit(kept).cast("long").alias("kept"))
+
+
+@query
+def lines_only(spark, d):
+    """Geometries of several kinds; lines that aren't empty stay."""
+    hexed = [F.unhex(F.lit(h)) for h in ("010200000000000000", "0101000000000000000000F03F0000000000000040", "010500000000000000", "00000000050000000100000000020000000200000000000000000000000000000000000000000000000000000000000000000000000000000000")]
+    e = wkb.edge_lines(V.edges(spark, d).select("id", "ax", "ay", "bx", "by"))
+    k = F.col("id") % 7
+    odd = F.when(k == 0, hexed[0]).when(k == 1, hexed[1]).when(k == 2, hexed[2]).when(k == 3, hexed[3]).when(k == 4, F.lit(None).cast("binary")).otherwise(F.col("geom"))
+    return wkb.lines_only(e.withColumn("geom", odd)).select("id")

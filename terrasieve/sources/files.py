@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasieve.functions.scalars import base_name, require_columns, strip_prefix
+from terrasieve.operators.selection import in_order
 
 SCALER_TYPE = "map<string,struct<mean:double,std:double>>"
 
 
 def scan(spark: SparkSession, path: str, *suffixes: str) -> DataFrame:
-    """(path, file_name, length) of a folder's files with one of the suffixes, each once; ValueError if there is none. Contents aren't
+    """(path, file_name, length, modified) of a folder's files with one of the suffixes, each once; ValueError if there is none. Contents aren't
     read. Order by path where an order matters: mosaics take it as their order column."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{{{','.join(suffixes)}}}").load(path).select("path", "length")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{{{','.join(suffixes)}}}").load(path).select("path", "length", F.col("modificationTime").alias("modified"))
     if found.isEmpty():
         raise ValueError(f"no {' or '.join(suffixes)} in {path}")
-    return found.select("path", base_name(F.col("path")).alias("file_name"), "length").dropDuplicates(["path"])
+    return found.select("path", base_name(F.col("path")).alias("file_name"), "length", "modified").dropDuplicates(["path"])
 
 
 def paired(images: DataFrame, masks: DataFrame, suffix: str = ".tif") -> DataFrame:
@@ -59,6 +60,12 @@ def guarded(df: DataFrame, overwrite: bool):
     return df.write.mode("overwrite" if overwrite else "errorifexists")
 
 
+def manifest(files: DataFrame) -> DataFrame:
+    """files (path and others) with z_order, the place of each in a mosaic: by path, later ones on top. Written as a table, it stands for a
+    virtual raster over the files."""
+    return in_order(require_columns(files, "path"), "path")
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     """Each row as a line of `name: value` fields, added to the log's folder."""
     fields = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NA"))) for c in rows.columns]

@@ -37,7 +37,13 @@ def _quoted(name: str) -> str:
 
 
 def _local(path: str) -> str:
-    return path.removeprefix("file://").removeprefix("file:")
+    """A path on a disk or mount; SQLite can't open files of other stores."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return path
+    if scheme != "file":
+        raise ValueError(f"GeoPackages are read and written by file paths, not by {scheme}:")
+    return rest.removeprefix("//")
 
 
 def _files(path: str) -> list[str]:

@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Type numbers of the encoding.
-LINE, POLYGON, COLLECTIONS = 2, 3, (4, 5, 6, 7)
+LINE, POLYGON, MULTILINE, COLLECTIONS = 2, 3, 5, (4, 5, 6, 7)
 
 
 def lines(data: bytes) -> list[np.ndarray]:
@@ -53,6 +54,26 @@ def _read(data: bytes, at: int, found: list[np.ndarray]) -> int:
     return at
 
 
+def kind_of(geometry: Column) -> tuple[Column, Column]:
+    """(type number without heights and measures, whether it is empty) by the header of well-known binary; null for null."""
+    h = F.hex(geometry)
+    little = F.substring(h, 1, 2) == "01"
+
+    def number(byte: int) -> Column:
+        parts = [F.substring(h, 2 * (byte + i) + 1, 2) for i in range(4)]
+        return F.conv(F.when(little, F.concat(*parts[::-1])).otherwise(F.concat(*parts)), 16, 10).cast("long")
+
+    kind = number(1)
+    count = F.when(kind.bitwiseAND(F.lit(0x20000000)) != 0, number(9)).otherwise(number(5))
+    return kind.bitwiseAND(F.lit(0xFFFF)) % 1000, count == 0
+
+
+def lines_only(layer: DataFrame, geometry: str = "geom") -> DataFrame:
+    """The rows of layer whose geometry is a line or a multiple line that isn't empty."""
+    kind, empty = kind_of(F.col(geometry))
+    return layer.filter(kind.isin(LINE, MULTILINE) & ~empty)
+
+
 def line_wkb(xy: np.ndarray) -> bytes:
     """A line of x, y rows, little-endian."""
     return struct.pack("<BII", 1, LINE, len(xy)) + np.ascontiguousarray(xy, "<f8").tobytes()

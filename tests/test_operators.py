@@ -50,6 +50,45 @@ def test_dissolve_merges_overlaps(spark):
     assert {r.k: r.length for r in L.dissolve(lines, "k").collect()} == {"a": 11.0}
 
 
+def test_dissolve_of_floats(spark):
+    rows = [("a", 0.0, 0.0, 1.5, 0.5), ("a", 0.75, 0.25, 3.0, 1.0), ("a", 0.0, 0.0, 0.5, 0.5), ("a", 0.5, 0.5, 0.25, 0.25), ("b", 2.0, 2.0, 2.0, 2.0), ("b", 0.0, 0.0, 0.0, 1.0), ("b", 0.0, 3.0, 0.0, 2.0), ("b", None, 3.0, 0.0, 2.0)]
+    parts = L.dissolve_parts(spark.createDataFrame(rows, "k string, ax double, ay double, bx double, by double"), "k").collect()
+    got = sorted((r.k, *(round(r[c], 6) for c in L.EDGE), round(r.length, 4)) for r in parts)
+    assert got == [("a", 0.0, 0.0, 0.5, 0.5, 0.7071), ("a", 0.0, 0.0, 3.0, 1.0, 3.1623), ("b", 0.0, 0.0, 0.0, 1.0, 1.0), ("b", 0.0, 2.0, 0.0, 3.0, 1.0)]
+
+
+def test_split_of_edges_without_length(spark):
+    point = spark.createDataFrame([(1, 2.0, 2.0, 2.0, 2.0), (2, 0.0, 0.0, 10.0, 0.0)], EDGE)
+    mask = spark.createDataFrame([(1, 2.0, 1.0, 2.0, 1.0)], EDGE)
+    got = {r.id: (r.length, round(r.inside, 6)) for r in L.split_by_buffer(point, mask, 3.0).collect()}
+    assert got == {1: (0.0, 0.0), 2: (10.0, round(2 + 8**0.5, 6))}
+    assert L.split_by_buffer(point, mask.limit(0), 3.0).agg(F.sum("inside")).first()[0] == 0
+    with pytest.raises(ValueError, match="reference systems"):
+        L.split_by_buffer(L.with_crs(point, "EPSG:1"), L.with_crs(mask, "EPSG:2"), 3.0)
+
+
+def test_boxes(spark):
+    ring = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0), (0.0, 0.0)]
+    edges = spark.createDataFrame([(7, *a, *b) for a, b in zip(ring, ring[1:], strict=False)], EDGE)
+    inside = lambda *box: [r.id for r in L.areas_in_box(edges, box).collect()]
+    assert inside(4, 4, 5, 5) == [7] and inside(10, 10, 12, 12) == [7] and inside(10.5, 4, 12, 5) == [] and inside(-5, -5, 20, 20) == [7]
+    assert L.lines_in_box(edges, (4, 4, 5, 5)).count() == 0 and L.lines_in_box(edges, (9, 9, 12, 12)).count() == 2
+
+
+def test_medians(spark):
+    rng = np.random.default_rng(3)
+    for values in ([1.0], [2.0, 4.0], [5.0] * 7, [*rng.normal(size=301)], [*rng.integers(0, 4, 200).astype(float)], [0.0] * 50 + [1e9, None]):
+        rows = [("m", None if v is None else float(v)) for v in values]
+        got = R.medians(spark.createDataFrame(rows, "metric string, v double"), 16).first().median
+        assert got == np.median([v for v in values if v is not None])
+
+
+def test_order_and_names(spark):
+    files = spark.createDataFrame([(f"f{i:03}", i % 5) for i in range(100)], "path string, n int").repartition(7)
+    assert [r.z_order for r in C.in_order(files, "path").orderBy("path").collect()] == list(range(100))
+    assert C.latest_by_time(spark.createDataFrame([("a.x", 3), ("b.x", 3), ("c.y", 9)], "file_name string, modified int"), ".x").first()[0] == "b.x"
+
+
 def test_flags_and_ratios(spark):
     rows = spark.createDataFrame([(" True",), ("1",), ("YES ",), ("no",), ("1.0",), (None,)], "f string").select(S.truthy(F.col("f")).alias("t")).collect()
     assert [r.t for r in rows] == [True, True, True, False, False, False]
