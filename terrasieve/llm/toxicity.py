@@ -100,6 +100,7 @@ class Grammar:
 
     def __post_init__(self):
         self.seen: dict[str, tuple[int, int, float]] = {}
+        self.codes: dict[tuple[int, int, float], tuple[int, int, float]] = {}  # one object for each: most pieces are alike
 
     def insult(self, word: str) -> float:
         found = [self.lexicon.get(word, 0.0), *(self.lexicon.get(f"{word[:n]}*", 0.0) for n in STEMS if len(word) >= n)]
@@ -113,7 +114,8 @@ class Grammar:
         mark = STOP if end in ".!?…" else COMMA if end in ",;:)" else -1
         weight = max([self.insult(w) for w in {word, *_SPLIT.split(word)} if w], default=0.0)
         symbol = INSULT if weight else _SEEDS.get(word, OTHER)
-        return (symbol, mark, weight)
+        code = (symbol, mark, weight)
+        return self.codes.setdefault(code, code)
 
     def clauses(self, text: str) -> list[tuple[int, float]]:
         """(kind, weight) of each matched clause."""

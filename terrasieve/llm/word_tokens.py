@@ -16,8 +16,8 @@ import numpy as np
 from terrasieve.llm.byte_runs import CLASS, DIGIT, LETTER, LOWER, MARK, ODD, SPACE, WordTable, joined, keys
 from terrasieve.llm.worker_memory import one_of
 
-#: Words, and ids of words, that a worker remembers, about 100 MB; beyond either it starts anew. Longer pieces aren't remembered.
-CACHED_WORDS, CACHED_IDS, CACHED_LENGTH = 1_000_000, 8_000_000, 64
+#: Words, and ids of words, that a worker remembers, about 40 MB; beyond either it starts anew. Longer pieces aren't remembered.
+CACHED_WORDS, CACHED_IDS, CACHED_LENGTH = 500_000, 4_000_000, 64
 #: Words that the library encodes in one call.
 RUN = 64
 #: Fixed value: the pattern by which the vocabulary splits lower-case text. WordEncoder.split does the same.
@@ -183,7 +183,7 @@ def word_encoder(path: str) -> WordEncoder:
     return one_of(("word_encoder", path), lambda: WordEncoder(path))
 
 
-def slices(ids: list, texts: list[str], chars: int = 2_000_000):
+def slices(ids: list, texts: list[str], chars: int = 1_000_000):
     """(ids, texts) in runs of about so many characters, so memory doesn't follow the batch size."""
     at = total = 0
     for i, t in enumerate(texts):
