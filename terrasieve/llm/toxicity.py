@@ -45,7 +45,7 @@ MOST, STEMS = 6000, (4, 5, 6)
 #: A term joins the lexicon from this log-odds on.
 LEAST_ODDS = 4.0
 #: Pieces that a worker remembers; beyond it the memory starts anew. Longer pieces aren't remembered.
-CACHED_PIECES, CACHED_LENGTH = 200_000, 64
+CACHED_PIECES, CACHED_LENGTH = 100_000, 64
 
 # Component transducers: next state by (state, symbol). They end with a clause; reported speech ends with its sentence.
 
