@@ -6,8 +6,8 @@ its original text stays, then the one with the smallest id (null ids last).
 Defined results: null text counts as empty, and all empty texts are one group. Rows with the same id and equal texts are copies like
 any others: each gives a row, exactly one of a group is kept. An empty table gives an empty result. Extra columns are not read.
 
-Plan: rows of about 100 bytes (hash, id, length) are pre-aggregated per (hash, id), then per hash, and joined back on a key of which
-adaptive execution can split hot values. Texts never follow them. To compare bytes, texts are read once more for hashes with several
+Plan: rows of about 100 bytes (number, hash, id, length) are written, pre-aggregated per hash, and joined back on a key of which
+adaptive execution can split hot values; a row's number settles which of several repeats stays. Texts never follow them. To compare bytes, texts are read once more for hashes with several
 rows; min and max per hash are pre-aggregated in each task, so one text a hash and task is shuffled at most.
 """
 
@@ -32,21 +32,18 @@ def normalised(text: Column) -> Column:
 
 
 def _keep(rows: DataFrame) -> DataFrame:
-    """Per row of (key, doc_id, chars, sha): keep_id, group_size and kept."""
-    ids = rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.first("sha").alias("sha"))
-    order = F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"))
-    groups = ids.groupBy("key").agg(F.min(order).alias("best"), F.sum("n").alias("group_size"))
-    groups = groups.select(own_exchange(F.col("key")).alias("k"), F.col("best.i").alias("keep_id"), "group_size")
-    joined = ids.withColumn("k", own_exchange(F.col("key"))).join(groups, "k")
-    return joined.select(
-        "doc_id", "keep_id", "group_size", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"), F.col("sha").alias("text_sha256"), "key"
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))
+    """Per row of (row, key, doc_id, chars, sha): keep_id, group_size and kept."""
+    order = F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("row").alias("r"))
+    groups = rows.groupBy("key").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = groups.select(own_exchange(F.col("key")).alias("k"), F.col("best.i").alias("keep_id"), F.col("best.r").alias("stays"), "group_size")
+    joined = rows.withColumn("k", own_exchange(F.col("key"))).join(groups, "k")
+    return joined.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("stays")).alias("kept"), F.col("sha").alias("text_sha256"), "key")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
     """Decisions, one row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256, key (the hash)."""
     d = whole_text(docs, id_col, text_col).withColumn("norm", normalised(F.col("text")))
-    hashed = d.select("doc_id", F.char_length("text").alias("chars"), hash_of(F.col("norm")).alias("key"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
+    hashed = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.char_length("text").alias("chars"), hash_of(F.col("norm")).alias("key"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
     rows = stage(hashed, "dedup-rows")
     several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     several = stage(several, "dedup-several")
@@ -61,7 +58,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         both = F.unhex(F.md5(F.concat(F.hex("key"), F.col("sha")).cast("binary")))
         apart = rows.join(clash, "key", "left_semi").withColumn("key", both)
         out = _keep(rows.join(clash, "key", "left_anti").unionByName(apart))
-    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "key")
+    return out
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
