@@ -24,8 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from terrasieve.llm.columns import whole_text
-from terrasieve.llm.word_tokens import slices
-from terrasieve.llm.worker_memory import one_of
+from terrasieve.llm.worker_memory import one_of, slices
 
 #: Chunks and pairs that a worker remembers; beyond it the caches start anew. Longer chunks aren't remembered.
 CACHED_CHUNKS, CACHED_LENGTH, CACHED_PAIRS = 700_000, 48, 500_000
@@ -165,9 +164,9 @@ def encode_ids(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_bpe(path, pattern)
         for b in batches:
-            id_type = b.schema.field(0).type
-            for doc_ids, texts in slices(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, id_type), pa.array([coder.encode(t) for t in texts], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            for part in slices(b):
+                ids = [coder.encode(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -190,13 +189,13 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_bpe(path, pattern)
-        for b in batches:
+        for part in chain.from_iterable(map(slices, batches)):
             n, ids_sha, data_sha = [], [], []
-            for text in b.column("text").to_pylist():
+            for text in part.column("text").to_pylist():
                 ids = coder.encode(text)
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(coder.decimals(ids).encode()).hexdigest())
                 data_sha.append(hashlib.sha256(coder.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -20,13 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrasieve.llm.columns import whole_text
 from terrasieve.llm.learning import held_out, label_counts, stratified
-from terrasieve.llm.word_tokens import slices
-from terrasieve.llm.worker_memory import make_room
+from terrasieve.llm.worker_memory import make_room, slices
 
 #: Languages at most: 210 MB while the matrix is made, half of that in each worker.
 MOST_LANGUAGES = 400
@@ -76,13 +76,10 @@ class NaiveBayes:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        langs = b.column("lang").to_pylist()
-        texts = b.column("text").to_pylist()
-        for lang in sorted(set(langs)):
+        for lang in sorted(b.column("lang").unique().to_pylist()):
             total = np.zeros(WIDTH, dtype=np.int64)
-            own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
-            for _, part in slices(own, own):
-                total += np.bincount(grams(part)[0], minlength=WIDTH)
+            for part in slices(b.filter(pc.equal(b.column("lang"), lang))):
+                total += np.bincount(grams(part.column("text").to_pylist())[0], minlength=WIDTH)
             h = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h)), pa.array(h, pa.int32()), pa.array(total[h], pa.int64())], names=["lang", "h", "n"])
 
@@ -110,9 +107,8 @@ def identify(docs: DataFrame, model: NaiveBayes, mod: int = 4, remainder: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make_room("langid")
         for b in batches:
-            id_type = b.schema.field(0).type
-            for ids, texts in slices(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), 500_000):
-                langs, scores = sent.value.predict(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
+            for part in slices(b, size=500_000):
+                langs, scores = sent.value.predict(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return d.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double").select("doc_id", held_out(mod, remainder).alias("held_out"), "lang_pred", "score")

@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from terrasieve.functions.staging import broadcast_within, drop, stage
 from terrasieve.llm.byte_runs import scramble, word_hashes
 from terrasieve.llm.columns import whole_text
-from terrasieve.llm.word_tokens import slices
-from terrasieve.llm.worker_memory import make_room
+from terrasieve.llm.worker_memory import make_room, slices
 
 ROWS, BANDS, SLACK = 5, 32, 0.25
 #: Counters that put shingles in order of rarity (8 MB in the driver and each worker).
@@ -92,14 +91,14 @@ def _signatures(size: int):
         make_room("minhash")
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for ids, texts in slices(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                sets = shingle_sets(texts, size)
+            for part in slices(batch):
+                sets = shingle_sets(part.column("text").to_pylist(), size)
                 named = [set_key(s) if len(s) else (None, None) for s in sets]
                 least = [minima(s) if len(s) else None for s in sets]
                 lists = [[None if x is None else f(x).view(np.int64) for x in least] for f in (bands, packed)]
-                columns = [pa.array(range(row, row + len(ids)), pa.int64()), pa.array(ids, batch.schema.field(0).type), pa.array([len(s) for s in sets], pa.int64())]
+                columns = [pa.array(range(row, row + len(sets)), pa.int64()), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
                 columns += [pa.array(x, pa.int64()) for x in zip(*named, strict=True)] + [pa.array(x, pa.list_(pa.int64())) for x in lists]
-                row += len(ids)
+                row += len(sets)
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n", "k0", "k1", "bands", "bits"])
 
     return run
@@ -109,9 +108,8 @@ def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make_room("minhash")
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for _, part in slices(texts, texts):
-                sets = [s for s in shingle_sets(part, size) if len(s)]
+            for part in slices(batch):
+                sets = [s for s in shingle_sets(part.column("text").to_pylist(), size) if len(s)]
                 if sets:
                     named = zip(*map(set_key, sets), strict=True)
                     yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in named], pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["k0", "k1", "hashes"])

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrasieve.llm.columns import whole_text
-from terrasieve.llm.word_tokens import slices, word_encoder
+from terrasieve.llm.word_tokens import word_encoder
+from terrasieve.llm.worker_memory import slices
 
 #: In ids: what a window costs besides its padding, and the penalties of its end.
 WINDOW_COST, SENTENCE_COST, INSIDE_COST = 16, 2, 40
@@ -174,9 +175,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, id_
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc_ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for part in slices(batch):
                 rows: list[tuple] = []
-                for doc_id, ids in zip(doc_ids, encoder.encode(texts), strict=True):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
                     rows += packer.add(doc_id, np.concatenate([ids, tail]))
                 if rows:
                     yield table(rows)

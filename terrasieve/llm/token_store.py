@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from terrasieve.functions.staging import broadcast_within, drop, stage
 from terrasieve.llm.columns import whole_text
-from terrasieve.llm.word_tokens import slices, word_encoder
+from terrasieve.llm.word_tokens import word_encoder
+from terrasieve.llm.worker_memory import slices
 
 #: Chunks hold so many ids at least, on average over it, and at most. The window is shorter than the least chunk.
 LEAST, MEAN_BITS, MOST, WINDOW = 256, 9, 4096, 16
@@ -117,9 +118,9 @@ def _encode(tokenizer: str, end_id: int | None):
         encoder, row = word_encoder(tokenizer), TaskContext.get().partitionId() << 36
         tail = np.array([] if end_id is None else [end_id], dtype=encoder.dtype)
         for batch in batches:
-            for doc_ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for part in slices(batch):
                 rows: list[list] = [[], [], [], [], []]
-                for doc_id, ids in zip(doc_ids, encoder.encode(texts), strict=True):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
                     ids = np.concatenate([ids, tail])
                     ends = cuts(ids)
                     data = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
@@ -130,8 +131,8 @@ def _encode(tokenizer: str, end_id: int | None):
                     for column, value in zip(rows, (doc_id, len(ids), chunks, np.diff([0, *ends]).tolist(), data), strict=True):
                         column.append(value)
                 types = (batch.schema.field(0).type, pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.binary()))
-                numbers = pa.array(range(row, row + len(doc_ids)), pa.int64())
-                row += len(doc_ids)
+                numbers = pa.array(range(row, row + part.num_rows), pa.int64())
+                row += part.num_rows
                 yield pa.RecordBatch.from_arrays([numbers, *[pa.array(c, t) for c, t in zip(rows, types, strict=True)]], names=["row", "doc_id", "n_tokens", "chunks", "ns", "data"])
 
     return run

@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from terrasieve.llm.columns import whole_text
 from terrasieve.llm.learning import held_out, labelled_texts, logistic_fit, sigmoid
-from terrasieve.llm.worker_memory import make_room
+from terrasieve.llm.worker_memory import make_room, slices
 
 # Seed word lists in English, German, French and Spanish.
 INSULTS = "idiot moron stupid trash scum loser pathetic worthless disgusting clown dummkopf abschaum connard ordure imbécile estúpido basura idiota".split()
@@ -212,8 +212,8 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, cut: float = 0.7, mod: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make_room("toxicity")
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(grammar.score(b.column("text").to_pylist()), pa.float64())], names=["doc_id", "score"])
+        for part in chain.from_iterable(map(slices, batches)):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(grammar.score(part.column("text").to_pylist()), pa.float64())], names=["doc_id", "score"])
 
     scored = d.mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out(mod, remainder).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
@@ -227,7 +227,7 @@ def drop_toxic(docs: DataFrame, grammar: Grammar, cut: float = 0.7, text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make_room("toxicity")
         for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(grammar.score([t or "" for t in b.column(at).to_pylist()]) < cut))
+            for part in slices(b, at):
+                yield part.filter(pa.array(grammar.score([t or "" for t in part.column(at).to_pylist()]) < cut))
 
     return renamed.mapInArrow(run, renamed.schema).toDF(*docs.columns)

@@ -181,15 +181,3 @@ class WordEncoder:
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for each worker process."""
     return one_of(("word_encoder", path), lambda: WordEncoder(path))
-
-
-def slices(ids: list, texts: list[str], chars: int = 1_000_000):
-    """(ids, texts) in runs of about so many characters, so memory doesn't follow the batch size."""
-    at = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= chars:
-            yield ids[at : i + 1], texts[at : i + 1]
-            at, total = i + 1, 0
-    if at < len(texts):
-        yield ids[at:], texts[at:]
