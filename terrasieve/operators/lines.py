@@ -1,7 +1,8 @@
 """Line layers: grid join, split by a buffered layer, clip to boxes, dissolve, per-chip metrics.
 
 Edges come as (id, ax, ay, bx, by). Layers are joined by grid cells, so every join is an equi-join that Spark can shuffle and split; a
-pair is reported in one cell alone, so no distinct follows.
+pair is reported in one cell alone, so no distinct follows. An edge much longer than a cell is joined part by part, so it lists cells in
+line with its length, not with its box.
 """
 
 from __future__ import annotations
@@ -20,18 +21,26 @@ from terrasieve.functions.scalars import f1_score, require_same_crs, safe_ratio
 EDGE = ("ax", "ay", "bx", "by")
 
 
-def _bounds(df: DataFrame, margin: float) -> DataFrame:
-    return df.select(
-        "*",
-        (F.least("ax", "bx") - margin).alias("_x0"),
-        (F.greatest("ax", "bx") + margin).alias("_x1"),
-        (F.least("ay", "by") - margin).alias("_y0"),
-        (F.greatest("ay", "by") + margin).alias("_y1"),
-    )
+#: Edges of more cells than this are joined in parts.
+SPAN = 4
 
 
-def grid_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """Pairs whose boxes (_x0, _x1, _y0, _y1) overlap; right's columns get the prefix r. Boxes are closed."""
+def cut_edges(df: DataFrame, cell: float, margin: float = 0.0) -> DataFrame:
+    """df with the box (_x0, _x1, _y0, _y1) of each edge, widened by margin; an edge longer than SPAN cells comes several times, each time with
+    the box of a part of it. Columns stay as they are, and so does an edge with a null corner, whose box is null. _t0 and _t1 are the shares of the edge at which the part begins and ends."""
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    n = F.coalesce(F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / (SPAN * cell)).cast("int")), F.lit(1))
+    d = df.select("*", n.alias("_n")).select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_part"))
+    many = F.col("_n") > 1
+    slack = F.when(many, F.lit(1e-6 * cell)).otherwise(F.lit(0.0)) + margin  # rounding of the parts' ends
+    at = lambda k, c, v: F.when(many, F.col(f"a{c}") + v * (F.col("_part") + k) / F.col("_n")).otherwise(F.col(f"{'ab'[k]}{c}"))
+    box = {f"_{c}{i}": (f(at(0, c, v), at(1, c, v)) + sign * slack) for c, v in (("x", dx), ("y", dy)) for i, f, sign in ((0, F.least, -1), (1, F.greatest, 1))}
+    return d.select("*", *[v.alias(k) for k, v in box.items()], (F.col("_part") / F.col("_n")).alias("_t0"), ((F.col("_part") + 1) / F.col("_n")).alias("_t1")).drop("_n", "_part")
+
+
+def grid_join(left: DataFrame, right: DataFrame, cell: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs whose boxes (_x0, _x1, _y0, _y1) overlap and that have equal columns `on` (null equals null); right's columns get the prefix r.
+    Boxes are closed. A crowded cell is a hot key of an equi-join, which adaptive execution splits."""
 
     def spread(df: DataFrame) -> DataFrame:
         c = df.select("*", *[F.floor(F.col(k) / cell).alias(f"_c{k[1:]}") for k in ("_x0", "_x1", "_y0", "_y1")])
@@ -42,7 +51,10 @@ def grid_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     b = b.select(*[F.col(c).alias(f"r{c}") for c in b.columns])
     first = (F.col("_cx") == F.greatest("_cx0", "r_cx0")) & (F.col("_cy") == F.greatest("_cy0", "r_cy0"))
     overlap = (F.col("_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("_x1")) & (F.col("_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("_y1"))
-    out = a.join(b, (F.col("_cx") == F.col("r_cx")) & (F.col("_cy") == F.col("r_cy")) & first & overlap)
+    same = (F.col("_cx") == F.col("r_cx")) & (F.col("_cy") == F.col("r_cy"))
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"r{c}"))
+    out = a.join(b, same & first & overlap)
     return out.drop(*[c for c in out.columns if c.lstrip("r").startswith("_")])
 
 
@@ -76,9 +88,9 @@ def split_by_buffer(source: DataFrame, mask: DataFrame, distance: float, cell: f
 
 def covered_intervals(source: DataFrame, mask: DataFrame, distance: float, cell: float = 20.0) -> DataFrame:
     """(id, lo, hi) of each source edge and mask edge near it: the part of the edge, from 0 to 1, within `distance`. Pairs whose boxes
-    overlap, but that are further apart, give no row."""
+    overlap, but that are further apart, give no row. An interval may come more than once where both edges are long."""
     kind = source.schema["id"].dataType.simpleString()
-    near = grid_join(_bounds(source.select("id", *EDGE), 0.0), _bounds(mask.select(*EDGE), distance), cell)
+    near = grid_join(cut_edges(source.select("id", *EDGE), cell), cut_edges(mask.select(*EDGE), cell, distance), cell)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -99,25 +111,44 @@ def line_totals(predicted: DataFrame, truth: DataFrame, distance: float) -> Data
     return rated.withColumn("f1", f1_score(F.col("precision"), F.col("recall")))
 
 
-def _on_lines(lines: DataFrame, key: str, grid: float) -> DataFrame:
-    """Edges with corners rounded to whole multiples of grid, by supporting line: key, ux, uy (direction in lowest terms), off, n2, and the
-    lesser end (lo, x0, y0) and greater end (hi, x1, y1) along it. Whole numbers, so edges of one line have equal ux, uy and off."""
-    whole = [F.floor(F.col(c) / grid + 0.5).cast("long").alias(c) for c in EDGE]
-    d = lines.select(key, *whole).filter("ax <> bx or ay <> by").select("*", (F.col("bx") - F.col("ax")).alias("dx"), (F.col("by") - F.col("ay")).alias("dy"))
-    # Euclid's steps: 92 at most for 64-bit numbers
-    divisor = F.aggregate(F.sequence(F.lit(1), F.lit(92)), F.struct(F.abs("dx").alias("a"), F.abs("dy").alias("b")), lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.pmod(s["a"], s["b"]).alias("b"))), lambda s: s["a"])
-    sign = F.when((F.col("dx") < 0) | ((F.col("dx") == 0) & (F.col("dy") < 0)), F.lit(-1)).otherwise(F.lit(1))
-    d = d.withColumn("g", divisor).withColumn("sign", sign).withColumns({"ux": F.expr("sign * (dx div g)"), "uy": F.expr("sign * (dy div g)")})
-    along = lambda x, y: F.struct((F.col("ux") * F.col(x) + F.col("uy") * F.col(y)).alias("at"), F.col(x).alias("x"), F.col(y).alias("y"))
-    d = d.select(key, "ux", "uy", (F.col("ux") * F.col("ay") - F.col("uy") * F.col("ax")).alias("off"), F.least(along("ax", "ay"), along("bx", "by")).alias("lo"), F.greatest(along("ax", "ay"), along("bx", "by")).alias("hi"))
-    return d.withColumn("n2", F.col("ux") * F.col("ux") + F.col("uy") * F.col("uy"))
+def on_lines(lines: DataFrame, keys: list[str], grid: float) -> DataFrame:
+    """Edges with corners rounded to whole multiples of grid, by supporting line: keys, ux, uy (direction in lowest terms), off, n2, the lesser
+    end (lo.at, lo.x, lo.y) and the greater end hi along it, and turned: whether the edge runs from the greater end to the lesser. Whole
+    numbers, so edges of one line have equal ux, uy and off. Edges that the rounding leaves no length go, and so do null corners. ValueError
+    where they outgrow 64 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(_all_set(b, EDGE))
+            ax, ay, bx, by = (np.floor(b.column(c).to_numpy(zero_copy_only=False).astype(float) / grid + 0.5) for c in EDGE)
+            dx, dy = bx - ax, by - ay
+            if len(ax) and max(np.abs(v).max() for v in (ax, ay, bx, by)) * max(1.0, np.abs(dx).max(), np.abs(dy).max()) * 2 >= 2.0**62:
+                raise ValueError("coordinates over grid outgrow 64 bits")
+            ax, ay, bx, by, dx, dy = (v.astype(np.int64) for v in (ax, ay, bx, by, dx, dy))
+            holds = (dx != 0) | (dy != 0)
+            turned = (dx < 0) | ((dx == 0) & (dy < 0))
+            g = np.maximum(np.gcd(dx, dy), 1) * np.where(turned, -1, 1)
+            ux, uy = dx // g, dy // g
+            lo_x, lo_y, hi_x, hi_y = np.where(turned, bx, ax), np.where(turned, by, ay), np.where(turned, ax, bx), np.where(turned, ay, by)
+            end = lambda x, y: pa.StructArray.from_arrays([pa.array(v) for v in (ux * x + uy * y, x, y)], names=["at", "x", "y"])
+            columns = [*(b.column(k) for k in keys), *map(pa.array, (ux, uy, ux * ay - uy * ax)), end(lo_x, lo_y), end(hi_x, hi_y), pa.array(ux * ux + uy * uy), pa.array(turned)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "ux", "uy", "off", "lo", "hi", "n2", "turned"]).filter(pa.array(holds))
+
+    kinds = ", ".join(f"`{k}` {lines.schema[k].dataType.simpleString()}" for k in keys)
+    spot = "struct<at:long,x:long,y:long>"
+    read = lines.select(*keys, *[F.col(c).cast("double").alias(c) for c in EDGE])
+    return read.mapInArrow(run, f"{kinds}, ux long, uy long, off long, lo {spot}, hi {spot}, n2 long, turned boolean")
+
+
+def _all_set(b: pa.RecordBatch, names: tuple[str, ...]) -> pa.Array:
+    return pa.array(~np.any([b.column(c).is_null().to_numpy(zero_copy_only=False) for c in names], axis=0))
 
 
 def dissolve_parts(lines: DataFrame, key: str, grid: float = 1e-3) -> DataFrame:
     """Per key, the lines without overlaps, one row a part: key, ax, ay, bx, by, length. Edges of one supporting line that overlap or touch
     are one part; lines that only cross stay whole. Corners are rounded to multiples of grid first, and edges of no length then go.
     Null corners go too. Coordinates over grid that outgrow 64 bits raise an error."""
-    d = _on_lines(lines.dropna(subset=list(EDGE)), key, grid)
+    d = on_lines(lines, [key], grid)
     line = (key, "ux", "uy", "off")
     before = Window.partitionBy(*line).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("new", (F.coalesce(F.max("hi.at").over(before), F.col("lo.at") - 1) < F.col("lo.at")).cast("int"))
@@ -151,13 +182,15 @@ def areas_in_box(edges: DataFrame, box: tuple[float, float, float, float], key:
 
 
 def clip_to_boxes(lines: DataFrame, boxes: DataFrame, cell: float = 32.0) -> DataFrame:
-    """Pairs of a box and an edge that meets it, with the boxes' columns prefixed by r and the edge's length inside as `clipped`."""
+    """Pairs of a box and an edge that meets it, with the boxes' columns prefixed by r and the edge's length inside as `clipped`. A long edge
+    comes part by part, with what of each part is inside."""
     same_crs(lines, boxes)
     b = boxes.withColumns({"_x0": F.col("xmin"), "_x1": F.col("xmax"), "_y0": F.col("ymin"), "_y1": F.col("ymax")})
-    near = grid_join(_bounds(lines, 0.0), b, cell)
+    near = grid_join(cut_edges(lines, cell).withColumns({"part_t0": F.col("_t0"), "part_t1": F.col("_t1")}), b, cell)
     c = F.col
     lo, hi = clip_interval((c("ax"), c("ay")), (c("bx"), c("by")), (c("rxmin"), c("rymin"), c("rxmax"), c("rymax")))
-    return near.withColumn("clipped", edge_length(c("ax"), c("ay"), c("bx"), c("by")) * F.greatest(F.lit(0.0), hi - lo))
+    share = F.greatest(F.lit(0.0), F.least(hi, c("part_t1")) - F.greatest(lo, c("part_t0")))
+    return near.withColumn("clipped", edge_length(c("ax"), c("ay"), c("bx"), c("by")) * share).drop("part_t0", "part_t1")
 
 
 def chip_metrics(chips: DataFrame, lines: DataFrame, keep: str = "keep") -> DataFrame:

@@ -26,17 +26,18 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted lines: boundary edges with shifted ends."""
+    """Predicted lines, one for each order: boundary edges with shifted ends, every edge as often as its turn comes."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k = F.col("o_custkey")
-    e = edges(spark, sf_dir).join(o, F.col("id") == F.col("o_orderkey"))
-    return e.select("id", (F.col("ax") + k % 9 - 4).alias("ax"), (F.col("ay") + k % 7 - 3).alias("ay"), (F.col("bx") + k % 5 - 2).alias("bx"), (F.col("by") + k % 11 - 5).alias("by"))
+    turn = F.col("o_orderkey") % (4 * table(spark, sf_dir, "part").count())
+    e = edges(spark, sf_dir).join(o, F.col("id") == turn)
+    return e.select(F.col("o_orderkey").alias("id"), (F.col("ax") + k % 9 - 4).alias("ax"), (F.col("ay") + k % 7 - 3).alias("ay"), (F.col("bx") + k % 5 - 2).alias("bx"), (F.col("by") + k % 11 - 5).alias("by"))
 
 
 def chips(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = table(spark, sf_dir, "part").agg(((F.floor(F.max("p_partkey") / 20) + 1) * SIDE).alias("top"))
-    c = top.select(F.explode(F.sequence(F.lit(0), F.ceil(F.lit(200) / STRIDE).cast("int") - 1)).alias("cx"), "top")
-    c = c.select("cx", F.explode(F.sequence(F.lit(0), F.ceil(F.col("top") / STRIDE).cast("int") - 1)).alias("cy"))
+    rows = top.select(F.explode(F.sequence(F.lit(0), F.ceil(F.col("top") / STRIDE).cast("int") - 1)).alias("cy")).repartition("cy")
+    c = rows.select(F.explode(F.sequence(F.lit(0), F.ceil(F.lit(200) / STRIDE).cast("int") - 1)).alias("cx"), "cy")
     x, y = (F.col("cx") * STRIDE).cast("double"), (F.col("cy") * STRIDE).cast("double")
     return c.select(F.concat_ws("_", F.lit("chip"), "cx", F.concat(F.col("cy").cast("string"), F.lit(".tif"))).alias("file_name"), "cx", "cy", x.alias("xmin"), y.alias("ymin"), (x + CHIP).alias("xmax"), (y + CHIP).alias("ymax"))
 
@@ -62,9 +63,10 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """vec_id, pixels, mask (the next vector's components above 0); a vector without a next one has no mask and no row."""
+    """vec_id, pixels, mask (the next vector's components above 0; the first follows the last)."""
     e = vectors(spark, sf_dir)
-    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.transform("pixels", lambda v: (v > 0).cast("int")).alias("mask"))
+    n = table(spark, sf_dir, "embeddings").count()
+    after = e.select(F.pmod(F.col("vec_id") - 1, F.lit(n)).alias("vec_id"), F.transform("pixels", lambda v: (v > 0).cast("int")).alias("mask"))
     return e.join(after, "vec_id")
 
 

@@ -39,19 +39,19 @@ def fixed(c: Column) -> Column:
     return F.round(c * 10_000).cast("long")
 
 
-def _flagged(spark: SparkSession, d: str) -> DataFrame:
+def flagged(spark: SparkSession, d: str) -> DataFrame:
     flags = V.backgrounds(spark, d).select(S.base_name(F.col("image_file")).alias("file_name"), "is_background_only")
     return V.chips(spark, d).join(flags, "file_name", "left").withColumn("keep", ~S.truthy(F.col("is_background_only")))
 
 
 def _report(spark: SparkSession, d: str) -> DataFrame:
-    kept = L.chip_metrics(_flagged(spark, d), V.labelled_lines(spark, d))
+    kept = L.chip_metrics(flagged(spark, d), V.labelled_lines(spark, d))
     return C.split_lookup(kept, V.members(spark, d))
 
 
 @query
 def bg_filter(spark, d):
-    return _flagged(spark, d).filter("keep").select("file_name", "is_background_only")
+    return flagged(spark, d).filter("keep").select("file_name", "is_background_only")
 
 
 @query
@@ -221,11 +221,6 @@ def upsample_band(spark, d):
     return _upsampled(V.vectors(spark, d))
 
 
-@query
-def upsample_band_all(spark, d):
-    return _upsampled(V.vectors(spark, d))
-
-
 def _upsampled(images: DataFrame) -> DataFrame:
     u = R.upsample(images.select("vec_id", "pixels"), 8, 8, 2)
     return u.groupBy("vec_id").agg(F.round(F.sum("value"), 4).alias("total"), F.round(F.max("value"), 6).alias("top"), F.count(F.lit(1)).alias("n"))
@@ -260,11 +255,6 @@ def display_scale(spark, d):
     return _displayed(V.vectors(spark, d))
 
 
-@query
-def display_scale_all(spark, d):
-    return _displayed(V.vectors(spark, d))
-
-
 def _displayed(images: DataFrame) -> DataFrame:
     n = R.display_scaled(F.col("pixels"), F.lit(False))
     return images.select("vec_id", F.round(F.aggregate(n, F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
@@ -335,7 +325,7 @@ def ratio_split(spark, d):
 @query
 def ratio_split_kept(spark, d):
     """The split of the chips that aren't flagged as background only, as the reference has it by default."""
-    return C.ratio_split(_flagged(spark, d).filter("keep").select("file_name"), "file_name").select("file_name", "split")
+    return C.ratio_split(flagged(spark, d).filter("keep").select("file_name"), "file_name").select("file_name", "split")
 
 
 @query
@@ -388,11 +378,6 @@ def report_text(spark, d):
     return C.report_strings(V.models(spark, d))
 
 
-@query
-def report_text_all(spark, d):
-    return C.report_strings(V.models(spark, d))
-
-
 @query
 def thinned_lines(spark, d):
     """Threshold, thin by chunk, trace the whole mosaic and map: the vectorising end of the prediction."""
@@ -480,3 +465,7 @@ def lines_only(spark, d):
     k = F.col("id") % 7
     odd = F.when(k == 0, hexed[0]).when(k == 1, hexed[1]).when(k == 2, hexed[2]).when(k == 3, hexed[3]).when(k == 4, F.lit(None).cast("binary")).otherwise(F.col("geom"))
     return wkb.lines_only(e.withColumn("geom", odd)).select("id")
+
+
+# Names from when the queries without `_all` left rows out.
+QUERIES |= {f"q_{name}_all": QUERIES[f"q_{name}"] for name in ("report_text", "display_scale", "upsample_band")}

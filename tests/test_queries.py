@@ -5,8 +5,7 @@ import os
 import duckdb
 import pytest
 
-from terrasieve.plans.oracle import SQL
-from terrasieve.plans.queries import QUERIES
+from terrasieve.plans.catalog import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 

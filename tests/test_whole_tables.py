@@ -3,7 +3,7 @@
 import duckdb
 from test_queries import SF, rounded
 
-from terrasieve.plans.queries import QUERIES
+from terrasieve.plans.catalog import QUERIES
 
 
 def held_against(spark, name, sql):
