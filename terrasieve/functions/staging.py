@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,39 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: The folder of each application that this driver ran.
+_RUNS: dict[tuple[str, str], str] = {}
+
+
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one. It goes when the driver's JVM ends, with all that is in it, whatever failed."""
+    own = (spark.sparkContext.applicationId, shared_dir(spark))
+    if own not in _RUNS:
+        path = f"{own[1]}/terrasieve/run-{own[0]}-{uuid.uuid4().hex}"
+        files, where = _files(spark, path)
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _RUNS[own] = path
+    return _RUNS[own]
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/terrasieve/{name}-{uuid.uuid4().hex}"
+    """A path in this application's folder, where nothing is yet."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def sweep(spark: SparkSession, hours: float = 72.0) -> list[str]:
+    """Delete the folders that other applications left, if nothing was written into them directly for so many hours: those of drivers that were
+    killed. hours must be longer than any application runs. The paths that went."""
+    files, top = _files(spark, f"{shared_dir(spark)}/terrasieve")
+    if not files.exists(top):
+        return []
+    found = [x for x in files.listStatus(top) if x.isDirectory() and x.getPath().getName().startswith("run-")]
+    mine = {path.rpartition("/")[2] for path in _RUNS.values()}
+    old = [x.getPath() for x in found if x.getPath().getName() not in mine and x.getModificationTime() < (time.time() - 3600 * hours) * 1000]
+    for path in old:
+        files.delete(path, True)
+    return [path.toString() for path in old]
 
 
 def _files(spark: SparkSession, path: str):
@@ -41,12 +73,15 @@ def _files(spark: SparkSession, path: str):
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, lost executors cost no recomputation. The table is
-    deleted by drop(), or else when the driver's JVM ends."""
+    deleted by drop(), or else when the driver's JVM ends; what a failed write leaves goes at once."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    files, where = _files(spark, path)
-    files.deleteOnExit(where)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    except Exception:
+        files, where = _files(spark, path)
+        files.delete(where, True)
+        raise
     held = spark.read.schema(df.schema).parquet(path)
     held._staged_at = path
     return held

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrasieve.functions.staging import stage
+from terrasieve.functions.staging import drop, stage
 
 Cell = tuple[int, int]
 Line = list[Cell]
@@ -150,9 +150,11 @@ def _least_of_neighbours(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = stage(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("k"), F.least("a", "b").alias("up")), "line-up")
-        label = stage(label.join(up, F.col("root") == F.col("k"), "left").select("key", F.coalesce("up", "root").alias("root")), "line-roots")
+        before, label = label, stage(label.join(up, F.col("root") == F.col("k"), "left").select("key", F.coalesce("up", "root").alias("root")), "line-roots")
         moved = edges.join(up.select(F.col("k").alias("ka"), F.col("up").alias("ua")), F.col("a") == F.col("ka")).join(up.select(F.col("k").alias("kb"), F.col("up").alias("ub")), F.col("b") == F.col("kb"))
-        edges = stage(moved.filter("ua <> ub").select(F.col("ua").alias("a"), F.col("ub").alias("b")).distinct(), "line-links")
+        last, edges = edges, stage(moved.filter("ua <> ub").select(F.col("ua").alias("a"), F.col("ub").alias("b")).distinct(), "line-links")
+        drop(before, last, up)
+    drop(edges)
     return label
 
 

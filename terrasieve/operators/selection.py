@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrasieve.functions.staging import stage
+from terrasieve.functions.staging import drop, stage
 
 
 def hash_ranked(df: DataFrame, key: str, seed: int, name: str = "rank") -> DataFrame:
@@ -107,12 +107,15 @@ def latest_by_time(files: DataFrame, suffix: str, name: str = "file_name", modif
 
 def in_order(df: DataFrame, key: str, name: str = "z_order") -> DataFrame:
     """df with the rank from 0 of each row by key, as a mosaic's order. Rows are dealt out by ranges of key and counted, so no task sees all;
-    equal keys get ranks side by side."""
-    dealt = stage(df.repartitionByRange(F.col(key).asc_nulls_first()).withColumn("_p", F.spark_partition_id()), "in-order")
+    equal keys get ranks side by side, in no stated order."""
+    numbered = stage(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    # the row's number parts what one key holds
+    dealt = stage(numbered.repartitionByRange(F.col(key).asc_nulls_first(), "_row").withColumn("_p", F.spark_partition_id()), "in-order")
+    drop(numbered)
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
     sizes = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))
-    inside = F.row_number().over(Window.partitionBy("_p").orderBy(F.col(key).asc_nulls_first())) - 1
-    return dealt.withColumn("_r", inside).join(F.broadcast(sizes), "_p").withColumn(name, (F.col("_at") + F.col("_r")).cast("long")).drop("_p", "_r", "_at")
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy(F.col(key).asc_nulls_first(), "_row")) - 1
+    return dealt.withColumn("_r", inside).join(F.broadcast(sizes), "_p").withColumn(name, (F.col("_at") + F.col("_r")).cast("long")).drop("_p", "_r", "_at", "_row")
 
 
 def shuffled(df: DataFrame, key: str, seed: int, name: str = "place") -> DataFrame:
