@@ -63,7 +63,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
     """docs without the copies, with its own columns. Where the row that stays is itself repeated, one of its repeats stays. Rows are matched
-    by the SHA-256 of the normalised text, which also tells texts of one hash apart."""
+    by the SHA-256 of the normalised text, which also tells texts of one hash apart. Columns of any type are carried along."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     doc_id, text = F.col(names[docs.columns.index(id_col)]), F.coalesce(F.col(names[docs.columns.index(text_col)]), F.lit(""))
     decided = stage(exact_dedup(docs, id_col, text_col, hash_of), "dedup-decided")
@@ -76,7 +76,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = rows.filter("stays").select("key", "doc_id")
     if not repeated.isEmpty():
         repeated = broadcast_within(repeated)
-        most = F.struct((-F.char_length(text)).alias("c"), *names)
-        one = held.join(repeated, on, "left_semi").groupBy("k").agg(F.min(most).alias("m"))
+        # the row's number settles it, as columns may have types without an order
+        most = F.struct((-F.char_length(text)).alias("c"), F.monotonically_increasing_id().alias("row"))
+        one = held.join(repeated, on, "left_semi").select("k", most.alias("most"), F.struct(*names).alias("all"))
+        one = one.groupBy("k").agg(F.min_by("all", "most").alias("m"))
         held = held.join(repeated, on, "left_anti").select(names).unionByName(one.select(*[F.col(f"m.{c}").alias(c) for c in names]))
     return held.select(names).toDF(*docs.columns)

@@ -89,11 +89,15 @@ def learn_languages(docs: DataFrame, mod: int = 4, remainder: int = 2, most: int
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(mod, remainder))
     priors = label_counts(rows, "lang", MOST_LANGUAGES)
     langs = sorted(priors)
-    sample = stratified(rows, "lang", priors, most).select("lang", "text")
-    counts = sample.mapInArrow(_count, "lang string, h int, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")).toArrow()
+    sample = stratified(rows, "lang", priors, most, "doc_id", "text").select("lang", "text")
+    counts = sample.mapInArrow(_count, "lang string, h int, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
     table = np.full((len(langs), WIDTH), 0.5)
     at = {x: i for i, x in enumerate(langs)}
-    np.add.at(table, (np.array([at[x] for x in counts["lang"].to_pylist()], dtype=int), counts["h"].to_numpy()), counts["n"].to_numpy().astype(float))
+    # a row a language, with arrays of WIDTH whole numbers at most
+    found = counts.groupBy("lang").agg(F.collect_list(F.struct("h", "n")).alias("c")).toArrow()
+    for batch in found.to_batches():
+        for lang, cells in zip(batch.column("lang").to_pylist(), batch.column("c"), strict=True):
+            table[at[lang], cells.values.field("h").to_numpy()] += cells.values.field("n").to_numpy()
     prior = np.array([priors[x] for x in langs], dtype=float)
     return NaiveBayes(langs, np.log(prior / prior.sum()) if langs else prior, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
 

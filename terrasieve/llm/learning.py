@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrasieve.functions.staging import stage
 from terrasieve.llm.columns import crc32_of_id
@@ -23,21 +24,25 @@ def label_counts(rows: DataFrame, label: str, most: int = 100) -> dict:
     return {r[0]: r[1] for r in counts}
 
 
-def stratified(rows: DataFrame, label: str, counts: dict, most: int, id_col: str = "doc_id") -> DataFrame:
-    """About `most` rows of each label at most, picked by a hash of the id."""
+def stratified(rows: DataFrame, label: str, counts: dict, most: int, *by: str) -> DataFrame:
+    """`most` rows of each label at most: the first by a hash of the columns `by`. A threshold leaves little more than those, and the first of
+    them are taken task by task before labels meet, so no task holds more than `most` rows of a label from each other one."""
     share = F.lit(None).cast("double")
     for value, n in counts.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, most / n))).otherwise(share)
-    return rows.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(77)), F.lit(1 << 20)) < share * (1 << 20))
+        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, (most + 8 * most**0.5 + 8) / n))).otherwise(share)
+    mixed = rows.withColumn("_h", F.shiftrightunsigned(F.xxhash64(*by, F.lit(77)), 1)).filter(F.col("_h") <= share * float(1 << 63))
+    first = F.row_number().over(Window.partitionBy(label).orderBy("_h", *by))
+    return mixed.withColumn("_n", first).filter(F.col("_n") <= most).drop("_h", "_n")
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, mod: int, remainder: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, label, text) of a sample of labelled rows that aren't held out: `most` rows of each label. The sample's ids are broadcast."""
+    """(doc_id, label, text) of a sample of labelled rows that aren't held out: `most` ids of each label, with one text each, of several the
+    least. The sample's ids are broadcast: 2 * most."""
     picked = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col(label).isin(0, 1) & ~held_out(mod, remainder))
     picked = picked.groupBy("doc_id").agg(F.max("label").alias("label"))
-    picked = stratified(picked, "label", label_counts(picked, "label"), most)
+    picked = stratified(picked, "label", label_counts(picked, "label"), most, "doc_id")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return stage(texts.join(F.broadcast(picked), "doc_id"), "labelled")
+    return stage(texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")), "labelled")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

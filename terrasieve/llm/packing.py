@@ -2,7 +2,7 @@
 
 The ids of a task's documents, in doc_id order, form one stream. Windows of at most `size` ids cover it. A window may end at a
 document's end (free), at a sentence's end (small penalty) or, where boundaries are further apart than `stride`, inside a sentence
-(large penalty). A window costs its padding, a fixed cost, and the penalty of its end; padding is size less length, or nothing at a
+(large penalty; with a stride of 256, any sentence of more ids offers such ends). A window costs its padding, a fixed cost, and the penalty of its end; padding is size less length, or nothing at a
 power of two. best[j] = min over i of best[i] + cost(i, j): for the padding term the least best[i] + position[i] within reach is the
 head of a monotone queue, and windows of a power of two are single look-ups. Each boundary enters and leaves the queue once.
 

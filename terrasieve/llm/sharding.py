@@ -5,7 +5,8 @@ that holds most of its neighbours: a link's rows are counted in each shard, so n
 shards as many rows are exchanged as want to go either way, beyond that only as many enter as a shard has room. Rows without a link
 settle last and fill every shard to its capacity, so counts differ by one at most (law `rows`).
 
-A link that holds more rows than a shard is dealt into parts that fit, each a link of its own.
+A link that holds more rows than the smallest shard is dealt by a hash into parts of nine tenths of a shard on average, each a link of its
+own; any other link is one part.
 
 Rounds go on until no row may move, or until a round doesn't lower the number of rows that lie outside their link's largest shard; then
 the state before it stays. That number falls with every other round, so the rounds end.
@@ -117,7 +118,7 @@ def balanced_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     total = rows.count()
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
     groups = rows.filter(F.col("link").isNotNull()).groupBy("link").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    groups = groups.select(own_exchange(F.col("link")).alias("h"), F.ceil(F.col("n") / max(1, int(0.9 * min(capacity)))).alias("parts"))
+    groups = groups.select(own_exchange(F.col("link")).alias("h"), F.when(F.col("n") > min(capacity), F.ceil(F.col("n") / max(1, int(0.9 * min(capacity))))).otherwise(F.lit(1)).alias("parts"))
     linked = rows.select("row", "link", own_exchange(F.col("link")).alias("h")).join(groups, "h")
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("row", F.lit(9)), F.col("parts"))).otherwise(F.lit(0))
     linked = stage(linked.select("row", F.unhex(F.md5(F.concat_ws("/", F.hex("link"), part).cast("binary"))).alias("link")), "shard-linked")

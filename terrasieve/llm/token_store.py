@@ -9,7 +9,8 @@ Folders under the store's path, all Parquet: chunks (chunk, n, data), recipes (p
 (part, first_id, tokens_before, n_tokens, n_docs, root).
 
 Defined results: null text counts as empty and gives the end id alone. Rows with one doc_id each keep their own recipe. Null ids come
-first. An empty table gives an empty store. Extra columns are not read.
+first. An empty table gives an empty store. Extra columns are not read. The store stays where it was written; nothing here deletes it
+(the query writes it to the application's folder, which goes with the driver).
 
 Plan: one pass over the texts writes recipes and chunk bytes to a staged table. Chunks are counted by hash (pre-aggregated in each task);
 of those used more than once the first use is kept, found by a broadcast join, or beyond its size by a shuffle of the bytes.
@@ -194,8 +195,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     each = encoded.select("row", F.explode(F.arrays_zip("chunks", "ns", "data")).alias("c")).filter("c.data is not null").select("row", F.col("c.chunks").alias("chunk"), F.col("c.ns").alias("n"), "c.data")
     once = each.join(broadcast_within(several), F.col("chunk") == F.col("several"), "left").filter("several is null or row = first")
     once.select("chunk", "n", "data").write.option("compression", "zstd").parquet(f"{path}/chunks")
-    ordered = encoded.select("doc_id", "n_tokens", "chunks").repartitionByRange(F.col("doc_id").asc_nulls_first())
-    placed = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", F.col("chunks").cast("array<string>"))
+    # rows of one id go by a hash of their chunks, then by number, so ranges part what one id holds
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("chunks"), F.col("row"))
+    placed = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "chunks")
     placed = placed.mapInArrow(_place(), f"part long, at long, doc_id {kind}, n_tokens long, chunks array<binary>, root binary")
     placed.write.option("compression", "zstd").parquet(f"{path}/recipes")
     drop(encoded, several)

@@ -6,8 +6,8 @@ matched; words alone emit nothing. Weights of insults (words and stems) are log-
 are learned by logistic loss; the fixed word lists below only seed the symbols. A text's score is the logistic of its weighted clauses.
 
 Defined results: null text counts as empty. A text without a matched clause, the empty text too, gets the base score. Without labels of
-both kinds the fixed lists and DEFAULT_WEIGHTS score. Words of any length count. Repeated rows each get a row. An empty table gives an
-empty result. Extra columns are not read.
+both kinds the fixed lists and DEFAULT_WEIGHTS score. Words of any length count, and so does every clause: logs of counts dampen many, no
+cap ends them. Repeated rows each get a row. An empty table gives an empty result. Extra columns are not read.
 
 Plan: the learning sample has `most` rows of each label at most (a documented bound). Spark counts its words. All those that a hundredth
 of the sample's toxic texts hold, and that are common enough among them, reach the driver: at most a hundred times as many as a toxic
@@ -151,16 +151,17 @@ class Grammar:
         return out
 
     def features(self, text: str) -> np.ndarray:
-        """Bias, log counts by kind of clause, weight of the strongest clause, clauses for each hundred words."""
+        """Bias, log counts by kind of clause, weight of the strongest clause, log of clauses for each five words. Nothing is capped: every clause
+        counts."""
         x = np.zeros(len(DEFAULT_WEIGHTS))
         x[0] = 1.0
         found = self.clauses(text)
         for kind, _ in found:
             x[1 + kind - 4] += 1
-        x[1:17] = np.minimum(np.log1p(x[1:17]), 1.5)
+        x[1:17] = np.log1p(x[1:17])
         if found:
             x[-2] = max(w for _, w in found) / 5
-            x[-1] = min(1.0, 100 * len(found) / max(len(text) / 6, 1) / 5)
+            x[-1] = np.log1p(20 * len(found) / max(len(text) / 6, 1))
         return x
 
     def score(self, texts: list[str]) -> np.ndarray:
