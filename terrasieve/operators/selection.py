@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -118,6 +118,23 @@ def in_order(df: DataFrame, key: str, name: str = "z_order") -> DataFrame:
     return dealt.withColumn("_r", inside).join(F.broadcast(sizes), "_p").withColumn(name, (F.col("_at") + F.col("_r")).cast("long")).drop("_p", "_r", "_at", "_row")
 
 
+def bottom_k(df: DataFrame, part: str, k: int, mixed: Column) -> DataFrame:
+    """Of each value of part the k rows with the least `mixed`, a whole number from 0 to 2^60 that is spread evenly over rows and decides alone,
+    however rows are dealt; of equal ones any. Fewer where part has fewer. Counts come first (a row for each value of part goes to the driver),
+    so that a threshold leaves little more than k rows of each for the sort."""
+    counts = {r[0]: r[1] for r in df.groupBy(part).count().collect()}
+    share = F.lit(None).cast("double")
+    for value, n in counts.items():
+        share = F.when(F.col(part).eqNullSafe(F.lit(value)), F.lit(min(1.0, (k + 8 * k**0.5 + 8) / n))).otherwise(share)
+    few = df.withColumn("_h", mixed).filter(F.col("_h") <= share * float(1 << 60))
+    return few.withColumn("_n", F.row_number().over(Window.partitionBy(part).orderBy("_h"))).filter(F.col("_n") <= k).drop("_h", "_n")
+
+
+def text_hash(text: Column) -> Column:
+    """60 bits of a text's MD5, which other engines give alike."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def shuffled(df: DataFrame, key: str, seed: int, name: str = "place") -> DataFrame:
     """df with a place from 0 for each row, in an order that only the seed and the keys decide."""
     return hash_ranked(df, key, seed, name)
