@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrasieve.functions.geometry import point_edge_distance2
+from terrasieve.functions.staging import broadcast_within, drop, stage
 
 
 def tiles(images: DataFrame, size: int = 512, stride: int = 384) -> DataFrame:
@@ -97,23 +98,41 @@ def confusion(predicted: Column, target: Column, threshold: float = 0.5) -> Colu
     return F.when((predicted > threshold) & (target > 0), "tp").when(predicted > threshold, "fp").when((predicted < threshold) & (target > 0), "fn").otherwise("tn")
 
 
-def medians(values: DataFrame, buckets: int = 4096) -> DataFrame:
-    """values (metric, v) as (metric, median), exact. Equal values are counted first, counts are summed in equal buckets between the least and
-    the greatest, and only the buckets that hold the middle are sorted; nulls don't count."""
-    counted = values.filter("v is not null").groupBy("metric", "v").agg(F.count(F.lit(1)).alias("n"))
-    ends = counted.groupBy("metric").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.sum("n").alias("total"))  # a row a metric
-    place = F.coalesce(F.least(F.floor((F.col("v") - F.col("least")) / F.nullif(F.col("most") - F.col("least"), F.lit(0.0)) * buckets), F.lit(buckets - 1)), F.lit(0))
-    placed = counted.join(F.broadcast(ends), "metric").withColumn("b", place)
-    before = Window.partitionBy("metric").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
-    sizes = placed.groupBy("metric", "b").agg(F.sum("n").alias("held"), F.first("total").alias("total"))
-    sizes = sizes.withColumn("at", F.coalesce(F.sum("held").over(before), F.lit(0)))
-    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
-    middle = sizes.filter((F.col("at") <= high) & (F.col("at") + F.col("held") > low)).select("metric", "b", "at")
-    inside = Window.partitionBy("metric", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = placed.join(F.broadcast(middle), ["metric", "b"]).withColumn("at", F.col("at") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    holds = lambda rank: (F.col("at") <= rank) & (rank < F.col("at") + F.col("n"))
-    picked = ranked.groupBy("metric").agg(F.max(F.when(holds(low), F.col("v"))).alias("l"), F.max(F.when(holds(high), F.col("v"))).alias("h"))
-    return picked.select("metric", ((F.col("l") + F.col("h")) / 2).alias("median"))
+def _narrowed(counted: DataFrame, ranges: DataFrame, buckets: int, by_size: bool) -> DataFrame:
+    """ranges (metric, which, rank, least, most, before, held) cut down to the bucket that holds the rank. by_size: buckets of equal logarithms,
+    so that one holds values of about one size; otherwise of equal width."""
+    v, least, most = F.col("v"), F.col("least"), F.col("most")
+    if by_size:
+        spread = lambda c: F.signum(c) * F.when(c == 0, F.lit(0.0)).otherwise(F.log2(F.abs(c)) + 1080)  # noqa: E731  # a double's least is 2^-1074
+        v, least, most = (spread(c) for c in (v, least, most))
+    share = (v / 2 - least / 2) / (most / 2 - least / 2)
+    place = F.when(F.isnan(share), F.lit(buckets - 1)).otherwise(F.least(F.floor(share * buckets), F.lit(buckets - 1)))
+    inside = counted.join(broadcast_within(ranges), "metric").filter((F.col("v") >= F.col("least")) & (F.col("v") <= F.col("most")))
+    sizes = inside.withColumn("b", place).groupBy("metric", "which", "rank", "before", "b").agg(F.sum("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.count(F.lit(1)).alias("held"))
+    earlier = Window.partitionBy("metric", "which").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
+    sizes = sizes.withColumn("at", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return sizes.filter("at <= rank and rank < at + n").select("metric", "which", "rank", "least", "most", F.col("at").alias("before"), "held")
+
+
+def medians(values: DataFrame, buckets: int = 4096, most: int = 100_000) -> DataFrame:
+    """values (metric, v) as (metric, median), exact; nulls don't count, NaN is greater than any number. Equal values are counted first. Rounds of
+    bucket counts narrow the range about the middle, first by the size of numbers, then by width, until `most` different values at most are
+    left in it, which are sorted: six rounds at most with 4096 buckets, however values are spread."""
+    counted = stage(values.filter("v is not null").groupBy("metric", "v").agg(F.count(F.lit(1)).alias("n")), "median-counts")
+    ends = counted.groupBy("metric").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("held"))  # a row a metric
+    both = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.expr(e).alias("rank")) for i, e in enumerate(("(total - 1) div 2", "total div 2"))]))
+    ranges = ends.select("metric", both.alias("w"), "least", "most", F.lit(0).cast("long").alias("before"), "held").select("metric", "w.*", "least", "most", "before", "held")
+    ranges, by_size = stage(ranges, "median-ranges"), True
+    wide = (F.col("held") > most) & (F.col("least") < F.col("most"))
+    while not ranges.filter(wide).isEmpty():
+        narrow = ranges.filter(~wide).unionByName(_narrowed(counted, ranges.filter(wide), buckets, by_size))
+        old, ranges, by_size = ranges, stage(narrow, "median-ranges"), False
+        drop(old)
+    held = counted.join(broadcast_within(ranges), "metric").filter((F.col("v") >= F.col("least")) & (F.col("v") <= F.col("most")))
+    inside = Window.partitionBy("metric", "which").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = held.withColumn("at", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    picked = ranked.filter("at <= rank and rank < at + n").groupBy("metric").agg(F.max(F.when(F.col("which") == 0, F.col("v"))).alias("l"), F.max(F.when(F.col("which") == 1, F.col("v"))).alias("h"))
+    return picked.select("metric", (F.col("l") / 2 + F.col("h") / 2).alias("median"))
 
 
 def five_numbers(df: DataFrame, *names: str) -> DataFrame:

@@ -83,6 +83,15 @@ def test_medians(spark):
         assert got == np.median([v for v in values if v is not None])
 
 
+def test_medians_of_any_spread(spark):
+    """One value far away, many sizes of numbers, both signs: few values are left to sort, and the middle is exact."""
+    rng = np.random.default_rng(5)
+    for values in (np.r_[rng.normal(size=3001) * 1e-3, 1e300], rng.normal(size=2000) * 10.0 ** rng.integers(-300, 300, 2000), np.r_[[-1.5e308, 1.5e308] * 20, rng.normal(size=500)], np.r_[[0.0] * 300, [1e300] * 300], np.r_[np.arange(800.0), [np.inf] * 3]):
+        rows = [("m", float(v)) for v in values] + [("other", 1.0)]
+        got = {r.metric: r.median for r in R.medians(spark.createDataFrame(rows, "metric string, v double").repartition(3), 4096, 20).collect()}
+        assert got == {"m": np.median(values / 2) * 2, "other": 1.0}
+
+
 def test_order_and_names(spark):
     files = spark.createDataFrame([(f"f{i:03}", i % 5) for i in range(100)], "path string, n int").repartition(7)
     assert [r.z_order for r in C.in_order(files, "path").orderBy("path").collect()] == list(range(100))
