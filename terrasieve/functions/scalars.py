@@ -41,6 +41,22 @@ def strip_prefix(key: Column, prefix: str = "_orig_mod.") -> Column:
     return F.when(key.startswith(prefix), F.replace(key, F.lit(prefix), F.lit(""))).otherwise(key)
 
 
+# How files and logs write a time.
+FILE_STAMP, LOG_STAMP = "yyyyMMdd_HHmmss", "yyyy-MM-dd HH:mm:ss"
+
+
+def stamp(time: Column, form: str = FILE_STAMP) -> Column:
+    """A timestamp as a file's name or a log's line has it."""
+    return F.date_format(time, form)
+
+
+def require_bands(bands: Column, *allowed: int) -> Column:
+    """The array of bands, or an error in the row that has another number of them (3 or 4 unless stated)."""
+    allowed = allowed or (3, 4)
+    told = F.format_string(f"an image has %d bands, not {' or '.join(map(str, allowed))}", F.size(bands))
+    return F.when(F.size(bands).isin(*allowed), bands).otherwise(F.raise_error(told))
+
+
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     missing = [n for n in names if n not in df.columns]
     if missing:

@@ -60,14 +60,30 @@ def report_strings(models: DataFrame, name: str = "name") -> DataFrame:
 
 
 def early_stop(history: DataFrame, patience: int, run: str = "run_id", epoch: str = "epoch", loss: str = "val_loss") -> DataFrame:
-    """history up to each run's stop, with is_best and bad (epochs since the best). Only a strictly smaller loss is a new best."""
-    order = Window.partitionBy(run).orderBy(epoch)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    best = F.min(loss).over(earlier)
-    d = history.withColumn("is_best", best.isNull() | (F.col(loss) < best)).withColumn("_i", F.row_number().over(order))
-    d = d.withColumn("bad", F.col("_i") - F.max(F.when(F.col("is_best"), F.col("_i"))).over(order))
-    d = d.withColumn("_stopped", F.coalesce(F.max((F.col("bad") >= patience).cast("int")).over(earlier), F.lit(0)))
-    return d.filter("_stopped = 0").drop("_i", "_stopped")
+    """history up to each run's stop, with is_best and bad (epochs since the best). Only a strictly smaller loss is a new best, and
+    a null is one only before any other. Epochs with one number come in an order that a hash of the loss decides.
+
+    Rows are dealt out by ranges of (run, epoch), and what a range needs of the ones before it are three numbers a run: rows, the least loss, the
+    last best. So one endless run is worked on by many tasks."""
+    own = {"_run": F.col(run), "_epoch": F.col(epoch), "_mix": F.xxhash64(loss)}
+    dealt = history.withColumns(own).repartitionByRange("_run", "_epoch", "_mix").withColumn("_part", F.spark_partition_id())
+    dealt = stage(dealt, "stop-dealt")
+    inside = Window.partitionBy("_run", "_part").orderBy("_epoch", "_mix")
+    ranges = Window.partitionBy("_run").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    named = lambda df, t: df.withColumnRenamed("_run", f"_run{t}").withColumnRenamed("_part", f"_part{t}")
+    on = lambda t: F.col("_run").eqNullSafe(F.col(f"_run{t}")) & (F.col("_part") == F.col(f"_part{t}"))
+    before = dealt.groupBy("_run", "_part").agg(F.count(F.lit(1)).alias("n"), F.min(loss).alias("least"))
+    before = named(before.select("_run", "_part", F.coalesce(F.sum("n").over(ranges), F.lit(0)).alias("_start"), F.min("least").over(ranges).alias("_least")), 1)
+    best = F.least("_least", F.min(loss).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    is_best = best.isNull() | F.coalesce(F.col(loss) < best, F.lit(False))
+    d = dealt.join(before, on(1)).withColumn("is_best", is_best).withColumn("_i", F.col("_start") + F.row_number().over(inside))
+    d = d.withColumn("_here", F.max(F.when(F.col("is_best"), F.col("_i"))).over(inside.rowsBetween(Window.unboundedPreceding, 0))).drop("_run1", "_part1", "_start", "_least")
+    last = d.groupBy("_run", "_part").agg(F.max("_here").alias("last"))
+    last = named(last.select("_run", "_part", F.max("last").over(ranges).alias("_last")), 2)
+    d = d.join(last, on(2)).withColumn("bad", F.col("_i") - F.greatest("_last", "_here")).drop("_run2", "_part2", "_last")
+    stops = d.filter(F.col("bad") >= patience).groupBy(F.col("_run").alias("_run3")).agg(F.min("_i").alias("_stop"))
+    kept = d.join(stops, F.col("_run").eqNullSafe(F.col("_run3")), "left").filter(F.col("_stop").isNull() | (F.col("_i") <= F.col("_stop")))
+    return kept.select(*history.columns, "is_best", "bad")
 
 
 def plateau_rate(history: DataFrame, rate: float, patience: int, factor: float = 0.5, relative: float = 1e-3, run: str = "run_id", epoch: str = "epoch", loss: str = "val_loss") -> DataFrame:

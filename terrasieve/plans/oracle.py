@@ -128,9 +128,15 @@ SQL: dict[str, str] = {
         z AS (SELECT k, ux, uy, off, min(lo) AS lo, max(hi) AS hi, (ux * ux + uy * uy)::DOUBLE AS n2 FROM g GROUP BY k, ux, uy, off, part)
         SELECT k, round((ux::HUGEINT * lo - uy::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS x0, round((uy::HUGEINT * lo + ux::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS y0, round((ux::HUGEINT * hi - uy::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS x1, round((uy::HUGEINT * hi + ux::HUGEINT * off)::DOUBLE / n2 / 1000, 3) AS y1,
         round((hi - lo) / sqrt(n2) / 1000, 3) AS length FROM z"""),
+    "q_gpkg_box": with_views("e p", """, i AS (SELECT id, greatest(0.0, CASE WHEN bx = ax THEN CASE WHEN ax BETWEEN 33.5 AND 78 THEN 0.0 ELSE 9.0 END ELSE least((33.5::DOUBLE - ax) / (bx - ax), (78 - ax) / (bx - ax)) END, CASE WHEN by_ = ay THEN CASE WHEN ay BETWEEN 41.25 AND 96.5 THEN 0.0 ELSE 9.0 END ELSE least((41.25::DOUBLE - ay) / (by_ - ay), (96.5::DOUBLE - ay) / (by_ - ay)) END) AS t0,
+        least(1.0, CASE WHEN bx = ax THEN 1.0 ELSE greatest((33.5::DOUBLE - ax) / (bx - ax), (78 - ax) / (bx - ax)) END, CASE WHEN by_ = ay THEN 1.0 ELSE greatest((41.25::DOUBLE - ay) / (by_ - ay), (96.5::DOUBLE - ay) / (by_ - ay)) END) AS t1, ax, ay FROM p)
+        SELECT id, ax AS x0, ay AS y0 FROM i WHERE t0 <= t1"""),
     "q_box_filter": with_views("e p", """, i AS (SELECT id, greatest(0.0, CASE WHEN bx = ax THEN CASE WHEN ax BETWEEN 33.5 AND 78 THEN 0.0 ELSE 9.0 END ELSE least((33.5::DOUBLE - ax) / (bx - ax), (78 - ax) / (bx - ax)) END, CASE WHEN by_ = ay THEN CASE WHEN ay BETWEEN 41.25 AND 96.5 THEN 0.0 ELSE 9.0 END ELSE least((41.25::DOUBLE - ay) / (by_ - ay), (96.5::DOUBLE - ay) / (by_ - ay)) END) AS t0,
         least(1.0, CASE WHEN bx = ax THEN 1.0 ELSE greatest((33.5::DOUBLE - ax) / (bx - ax), (78 - ax) / (bx - ax)) END, CASE WHEN by_ = ay THEN 1.0 ELSE greatest((41.25::DOUBLE - ay) / (by_ - ay), (96.5::DOUBLE - ay) / (by_ - ay)) END) AS t1 FROM p)
         SELECT 'line' AS layer, id FROM i WHERE t0 <= t1 UNION ALL SELECT 'parcel', p_partkey FROM part WHERE (p_partkey % 20) * 10 <= 78 AND (p_partkey % 20) * 10 + 10 >= 33.5 AND (p_partkey // 20) * 10 <= 96.5 AND (p_partkey // 20) * 10 + 10 >= 41.25"""),
+    "q_run_stamps": """SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS file_stamp, strftime(ts, '%Y-%m-%d %H:%M:%S') AS log_stamp, 'preds_' || strftime(ts, '%Y%m%d_%H%M%S') || '.gpkg' AS file_name FROM events""",
+    "q_model_states": """WITH m AS (SELECT p_partkey, CASE p_size % 2 WHEN 0 THEN 'unet' ELSE 'unetplusplus' END AS arch, p_brand AS encoder, unnest([{'k': 'a.w', 'v': p_retailprice}, {'k': 'b._orig_mod.w', 'v': p_size::DOUBLE}]) AS x FROM part)
+        SELECT p_partkey AS name, arch, encoder, CASE WHEN p_partkey % 3 = 0 THEN replace(x.k, '_orig_mod.', '') ELSE x.k END AS key, x.v AS value FROM m""",
     "q_box_inside": "SELECT p_partkey AS id FROM part WHERE (p_partkey % 20) * 10 <= 43 AND (p_partkey % 20) * 10 + 10 >= 42.5 AND (p_partkey // 20) * 10 <= 53.25 AND (p_partkey // 20) * 10 + 10 >= 53",
     "q_crs_labels": with_views("e p", "SELECT 'split' AS layer, count(*) AS n FROM p UNION ALL SELECT 'EPSG:27700', count(*) FROM e"),
     "q_chip_index": """WITH s AS (SELECT n_nationkey AS n, n_nationkey * 97 + 400 AS width, n_nationkey * 41 + 700 AS height, CASE WHEN n_nationkey % 2 = 0 THEN 0.25 ELSE 0.5 END::DOUBLE AS px FROM nation),

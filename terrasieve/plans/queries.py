@@ -303,7 +303,7 @@ def boundless_window(spark, d):
 
 @query
 def pairs_semi(spark, d):
-    return V.chips(spark, d).select("file_name").filter(F.col("file_name").endswith(".tif")).join(V.members(spark, d), "file_name", "left_semi")
+    return files.paired(V.chips(spark, d).select("file_name"), V.members(spark, d))
 
 
 @query
@@ -396,6 +396,36 @@ def gpkg_roundtrip(spark, d):
     return e.select("id", F.col("ax").alias("x0"), F.col("ay").alias("y0"), F.col("bx").alias("x1"), F.col("by").alias("y1"))
 
 
+@query
+def gpkg_box(spark, d):
+    """Predicted lines of a GeoPackage that meet a box: its R-tree finds those whose bounds do."""
+    geopackage.register(spark)
+    path = new_path(spark, "gpkg-box")
+    wkb.edge_lines(V.predictions(spark, d)).write.format("gpkg").option("layer", "lines").mode("append").save(path)
+    layer = spark.read.format("gpkg").option("layer", "lines").option("bounds", True).load(path)
+    x0, y0, x1, y1 = BOX
+    near = layer.filter((F.col("min_x") <= x1) & (F.col("max_x") >= x0) & (F.col("min_y") <= y1) & (F.col("max_y") >= y0))
+    return L.lines_in_box(wkb.edges(near, "id"), BOX).select("id", F.col("ax").alias("x0"), F.col("ay").alias("y0"))
+
+
+@query
+def run_stamps(spark, d):
+    """Times as names of files and lines of logs have them."""
+    t = F.col("ts")
+    return V.table(spark, d, "events").select("event_id", S.stamp(t).alias("file_stamp"), S.stamp(t, S.LOG_STAMP).alias("log_stamp"), F.concat(F.lit("preds_"), S.stamp(t), F.lit(".gpkg")).alias("file_name"))
+
+
+@query
+def model_states(spark, d):
+    """Checkpoints of both kinds, their weights by name without the compiler's prefix."""
+    k = F.col("p_partkey")
+    prefix = F.when(k % 3 == 0, "_orig_mod.").otherwise("")
+    state = F.create_map(F.concat(prefix, F.lit("a.w")), F.col("p_retailprice"), F.concat(prefix, F.lit("b._orig_mod.w")), F.col("p_size").cast("double"))
+    own = lambda odd, name: F.when((k % 2 == 1) == F.lit(odd), state).alias(name)
+    m = V.table(spark, d, "part").select(k.alias("name"), F.when(F.col("p_size") % 2 == 0, "unet").otherwise("unetplusplus").alias("arch"), F.col("p_brand").alias("encoder"), own(True, "state_dict"), own(False, "model_state_dict"))
+    return files.model_states(m).select("name", "arch", "encoder", F.explode("state").alias("key", "value"))
+
+
 @query
 def latest_mtime(spark, d):
     """The file with the suffix that was changed last."""

@@ -20,8 +20,28 @@ def _axis(name: str, source: str, i: str, n: str, step: str, bounds: str = "") -
     {name} AS (SELECT key, {i}, k, w / sum(w) OVER (PARTITION BY key, {i}) AS w FROM {name}4)"""
 
 
-_MASK = """, g0 AS (SELECT *, unnest(range(floor(least(ax, bx))::BIGINT - 2, ceil(greatest(ax, bx))::BIGINT + 3)) AS col FROM e), h0 AS (SELECT *, unnest(range(floor(least(ay, by_))::BIGINT - 2, ceil(greatest(ay, by_))::BIGINT + 3)) AS row FROM g0),
-        d AS (SELECT DISTINCT row, col FROM h0 WHERE row >= 0 AND col >= 0 AND (col + 0.5::DOUBLE - greatest(least(ax, bx), least(greatest(ax, bx), col + 0.5::DOUBLE)))^2 + (row + 0.5::DOUBLE - greatest(least(ay, by_), least(greatest(ay, by_), row + 0.5::DOUBLE)))^2 <= 0.5625),
+def _mask(limit: float, name: str) -> str:
+    """name: row, col of the pixels whose centre is within a distance of a (level or upright) edge, limit being its square."""
+    return f""", g0 AS (SELECT *, unnest(range(floor(least(ax, bx))::BIGINT - 2, ceil(greatest(ax, bx))::BIGINT + 3)) AS col FROM e), h0 AS (SELECT *, unnest(range(floor(least(ay, by_))::BIGINT - 2, ceil(greatest(ay, by_))::BIGINT + 3)) AS row FROM g0),
+        {name} AS (SELECT DISTINCT row, col FROM h0 WHERE row >= 0 AND col >= 0 AND (col + 0.5::DOUBLE - greatest(least(ax, bx), least(greatest(ax, bx), col + 0.5::DOUBLE)))^2 + (row + 0.5::DOUBLE - greatest(least(ay, by_), least(greatest(ay, by_), row + 0.5::DOUBLE)))^2 <= {limit})"""
+
+
+def _thinned(source: str, name: str, rounds: int = 6, chunk: int = 2048) -> str:
+    """name: what parallel thinning leaves of source, chunk by chunk. m has a bit for each set neighbour, clockwise from the one above. The rounds
+    are stated; a further one must change nothing, or the count of rows is wrong on purpose."""
+    near = "(VALUES (-1, 0, 1), (-1, 1, 2), (0, 1, 4), (1, 1, 8), (1, 0, 16), (1, -1, 32), (0, -1, 64), (-1, -1, 128)) AS w(y, x, bit)"
+    out, last = "", source
+    for k in range(2 * rounds + 2):
+        free = "m & 21 <> 21 AND m & 84 <> 84" if k % 2 == 0 else "m & 69 <> 69 AND m & 81 <> 81"
+        out += f""", u{k} AS (SELECT p.row, p.col, coalesce(sum(bit) FILTER (q.row IS NOT NULL), 0)::INT AS m FROM {last} p, {near}
+            LEFT JOIN {last} q ON q.row = p.row + y AND q.col = p.col + x AND q.row // {chunk} = p.row // {chunk} AND q.col // {chunk} = p.col // {chunk} GROUP BY 1, 2),
+        z{k} AS (SELECT row, col FROM u{k} WHERE NOT (bit_count(m) BETWEEN 2 AND 6 AND bit_count(((m >> 1) | ((m & 1) << 7)) & ~m) = 1 AND {free}))"""
+        last = f"z{k}"
+    done = f"z{2 * rounds - 1}"
+    return out + f", {name} AS (SELECT row, col FROM {done} UNION ALL SELECT -1, -1 WHERE (SELECT count(*) FROM {done}) <> (SELECT count(*) FROM {last}))"
+
+
+_TOTALS = """,
         sides AS (SELECT d.*, s.* FROM d, (VALUES (-1, 0, 0, 1), (0, 1, 1, 0), (1, 0, 0, -1), (0, -1, -1, 0)) AS s(ny, nx, hy, hx)),
         free AS (SELECT sides.* FROM sides ANTI JOIN d ON d.row = sides.row + ny AND d.col = sides.col + nx),
         goes AS (SELECT free.*, a.row IS NOT NULL OR b.row IS NOT NULL AS leaves FROM free LEFT JOIN d a ON a.row = free.row + ny + hy AND a.col = free.col + nx + hx LEFT JOIN d b ON b.row = free.row + hy AND b.col = free.col + hx),
@@ -46,7 +66,9 @@ SQL: dict[str, str] = {
     + _axis("y", "w", "i", "6", "(4.7::DOUBLE / gp / 6)") + _axis("x", "w", "j", "5", "(3.9::DOUBLE / gp / 5)")
     + " SELECT y.key, y.i AS row, x.j AS col, round(coalesce(sum(y.w * x.w * m.value), 0), 6) AS value FROM y JOIN x ON x.key = y.key LEFT JOIN m ON m.row = y.k AND m.col = x.k GROUP BY 1, 2, 3",
     "q_downscale_ratio": f"WITH z AS (SELECT 1){_axes(2)}{_axes(4)} {_downscaled(0.3, 2)} UNION ALL {_downscaled(0.5, 4)}",
-    "q_border_totals": with_views("e", _MASK),
+    "q_border_totals": with_views("e", _mask(0.5625, "d") + _TOTALS),
+    "q_thinned_pixels": with_views("e", _mask(2.25, "d0") + _thinned("d0", "d") + " SELECT row, col FROM d"),
+    "q_contour_totals": with_views("e", _mask(2.25, "d0") + _thinned("d0", "d") + _TOTALS),
     "q_scaler_sampled": with_views("v", """, h AS (SELECT i % 4 AS band, value, row_number() OVER (PARTITION BY i % 4 ORDER BY ('0x' || left(md5(vec_id || ':' || i), 15))::BIGINT) AS place FROM v)
         SELECT band, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM h WHERE place <= 1000 GROUP BY 1"""),
 }

@@ -58,17 +58,36 @@ def downscale_ratio(spark, d):
     return out
 
 
+def _skeleton(spark: SparkSession, d: str) -> DataFrame:
+    return thin_chunks(R.chunked(R.rasterise(V.edges(spark, d), 1.5).filter("row >= 0 and col >= 0"), CHUNK))
+
+
+@query
+def thinned_pixels(spark, d):
+    """What thinning leaves of the boundary mask."""
+    return _skeleton(spark, d).select("row", "col")
+
+
+@query
+def contour_totals(spark, d):
+    """The borders of the thinned mask in numbers."""
+    return _totals(_skeleton(spark, d))
+
+
 @query
 def border_contours(spark, d):
     """Threshold, thin by chunk, follow the borders of the whole mosaic and map their corners."""
-    px = R.rasterise(V.edges(spark, d), 1.5).filter("row >= 0 and col >= 0")
-    return B.border_lines(thin_chunks(R.chunked(px, CHUNK)), (1.0, 0.0, 0.0, 0.0, 1.0, 0.0), CHUNK, least=5)
+    return B.border_lines(_skeleton(spark, d), (1.0, 0.0, 0.0, 0.0, 1.0, 0.0), CHUNK, least=5)
 
 
 @query
 def border_totals(spark, d):
     """All borders of the boundary mask: outer ones less holes, points, and sums over them."""
-    p = B.border_points(R.rasterise(V.edges(spark, d), MASK_BUFFER).filter("row >= 0 and col >= 0"), CHUNK)
+    return _totals(R.rasterise(V.edges(spark, d), MASK_BUFFER).filter("row >= 0 and col >= 0"))
+
+
+def _totals(pixels: DataFrame) -> DataFrame:
+    p = B.border_points(pixels, CHUNK)
     first = F.col("seq") == 0
     sums = (F.sum(F.when(first, F.when(F.col("hole"), -1).otherwise(1))).alias("outer_less_holes"), F.sum(F.when(first, F.col("area"))).alias("area"), F.count(F.lit(1)).alias("points"), F.sum("row").alias("rows"), F.sum("col").alias("cols"))
     return p.agg(*sums)

@@ -87,12 +87,19 @@ def edges(layer: DataFrame, id_col: str = "fid", geometry: str = "geom") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for key, data in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+            rows, parts, found = [], [], []
+            for i, data in enumerate(b.column(1).to_pylist()):
                 for part, xy in enumerate(lines(data) if data else []):
-                    if (n := len(xy) - 1) > 0:
-                        columns = [pa.array([key.as_py()] * n, b.schema.field(0).type), pa.array([part] * n, pa.int64()), pa.array(range(n), pa.int64())]
-                        columns += [pa.array(np.ascontiguousarray(v)) for v in (xy[:-1, 0], xy[:-1, 1], xy[1:, 0], xy[1:, 1])]
-                        yield pa.RecordBatch.from_arrays(columns, names=names)
+                    if len(xy) > 1:
+                        rows.append(i)
+                        parts.append(part)
+                        found.append(xy)
+            n = np.array([len(xy) - 1 for xy in found], dtype=np.int64)
+            ends = [np.concatenate([xy[k : len(xy) - 1 + k] for xy in found]) if found else np.zeros((0, 2)) for k in (0, 1)]
+            seq = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            columns = [b.column(0).take(pa.array(np.repeat(rows, n).astype(np.int64))), pa.array(np.repeat(parts, n).astype(np.int64)), pa.array(seq)]
+            columns += [pa.array(np.ascontiguousarray(v[:, k])) for v in ends for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return layer.select(id_col, geometry).mapInArrow(run, f"id {kind}, part long, seq long, ax double, ay double, bx double, by double")
 

@@ -126,6 +126,34 @@ def test_histories(spark):
     assert C.plateau_rate(h, 1.0, 1).first().rate == 0.5
 
 
+def test_early_stop_of_one_hot_run(spark):
+    """One run over many ranges stops where a plain loop stops it."""
+    rng = np.random.default_rng(9)
+    losses = {"hot": (5 + rng.normal(size=2500) - np.arange(2500) / 500).round(2), "b": np.array([3.0, 2.0, 2.0, 2.0]), None: np.array([1.0])}
+    rows = [(r, i, None if i % 97 == 5 else float(v)) for r, run in losses.items() for i, v in enumerate(run)]
+    h = spark.createDataFrame(rows, "run_id string, epoch int, val_loss double").repartition(6)
+    for patience in (2, 60, 10_000):
+        want = []
+        for r in losses:
+            best, bad = None, 0
+            for _, i, v in (x for x in rows if x[0] == r):
+                is_best = best is None or (v is not None and v < best)
+                bad = 0 if is_best else bad + 1
+                best = v if is_best and v is not None else best
+                want.append((r, i, is_best, bad))
+                if bad >= patience:
+                    break
+        got = C.early_stop(h, patience).collect()
+        assert sorted(map(str, ((r.run_id, r.epoch, r.is_best, r.bad) for r in got))) == sorted(map(str, want))
+
+
+def test_guards_and_stamps(spark):
+    one = spark.sql("select timestamp'2024-03-05 06:07:08' as t, array(1, 2, 3) as b")
+    assert tuple(one.select(S.stamp(F.col("t")), S.stamp(F.col("t"), S.LOG_STAMP), F.size(S.require_bands(F.col("b")))).first()) == ("20240305_060708", "2024-03-05 06:07:08", 3)
+    with pytest.raises(Exception, match="3 bands, not 4"):
+        one.select(S.require_bands(F.col("b"), 4)).collect()
+
+
 def test_split_sizes(spark):
     d = spark.range(103).select(F.col("id").alias("k"))
     sizes = {r.split: r["count"] for r in C.ratio_split(d, "k").groupBy("split").count().collect()}

@@ -1,5 +1,6 @@
 """Sources and sinks: round trips, folders, guards."""
 
+import os
 import struct
 
 import pytest
@@ -72,3 +73,61 @@ def test_scaler_log_and_models(spark, tmp_path):
     assert files.model_states(good).first().state == {"w": 1.0}
     with pytest.raises(Exception, match="incomplete checkpoint"):
         files.model_states(spark.createDataFrame([("m", "unet", None, {"w": 1.0}, None)], kind)).collect()
+
+
+def test_geopackage_pushdown(spark, tmp_path, capsys):
+    """Filters and boxes go to SQLite; the rest stays with Spark, and rows are right whatever goes where."""
+    geopackage.register(spark)
+    path = str(tmp_path / "layer")
+    rows = spark.range(1000).select("id", (F.col("id") * 1.0 + 0.1).alias("ax"), F.lit(0.0).alias("ay"), (F.col("id") + 1.5).alias("bx"), F.lit(2.0).alias("by"), F.when(F.col("id") % 4 > 0, F.concat(F.lit("n"), F.col("id") % 7)).alias("name"), (F.col("id") % 3 == 0).alias("flag"), (F.col("id") / 3).alias("size"))
+    wkb.edge_lines(rows).repartition(2).write.format("gpkg").mode("append").save(path)
+    back = spark.read.format("gpkg").option("bounds", True).load(path)
+    assert back.columns[-4:] == ["min_x", "min_y", "max_x", "max_y"]
+    box = back.filter("min_x <= 60.25 and max_x >= 50.1 and min_y <= 5 and max_y >= 1 and id < 58")
+    assert {r.id for r in box.collect()} == {i for i in range(58) if i + 0.1 <= 60.25 and i + 1.5 >= 50.1}
+    box.explain()
+    shown = capsys.readouterr().out
+    assert "id" in shown and "Python" in shown or "gpkg" in shown
+    for rule in ("id = 7", "name = 'n3' and id > 500", "name is null and flag", "id in (1, 2, 5000)", "size > 300.5", "name > 'n4'", "not flag and id <= 20", "min_x = 7.1", "name is not null and size <=> null"):
+        want = rows.withColumns({"min_x": F.col("ax")}).filter(rule)
+        assert {r.id for r in back.filter(rule).collect()} == {r.id for r in want.collect()}, rule
+    reader = geopackage.Reader(back.schema, geopackage._files(path), "layer", "geom", 500, 1 << 30)
+    asked = [geopackage.GreaterThanOrEqual(("max_x",), 50.1), geopackage.LessThanOrEqual(("min_x",), 60.25), geopackage.LessThan(("id",), 58), geopackage.GreaterThan(("size",), 0.0)]
+    assert list(reader.pushFilters(asked)) == [asked[0], asked[1], asked[3]]
+    read = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+    assert 9 <= read <= 12  # of 1,000
+    few = spark.read.schema("id long").format("gpkg").load(path)
+    assert few.columns == ["id"] and few.agg(F.sum("id")).first()[0] == 499_500
+
+
+def test_geopackage_of_far_ids(spark, tmp_path):
+    """Row ids 1 and 10^12 are two rows, not 10^12 of them."""
+    geopackage.register(spark)
+    path = str(tmp_path / "layer")
+    spark.createDataFrame([(1, None), (2, None)], "id long, geom binary").coalesce(1).write.format("gpkg").mode("append").save(path)
+    (name,) = geopackage._packages(path)
+    with geopackage.sqlite3.connect(f"{path}/{name}") as db:
+        db.execute("UPDATE layer SET fid = 1000000000000 WHERE fid = 2")
+    assert [(p.first, p.end) for p in geopackage._ranges(f"{path}/{name}", "layer", 1)] == [(1, 10**12), (10**12, None)]
+    back = spark.read.format("gpkg").option("rows", 1).option("split", 0).load(path)
+    assert back.rdd.getNumPartitions() == 2 and sorted(r.id for r in back.collect()) == [1, 2]
+
+
+def test_geopackage_writes_whole_or_not(spark, tmp_path):
+    """A failed write leaves the folder as it was; a good one is seen at once."""
+    geopackage.register(spark)
+    path = str(tmp_path / "layer")
+    good = wkb.edge_lines(spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0)], "id long, ax double, ay double, bx double, by double"))
+    good.coalesce(1).write.format("gpkg").mode("append").save(path)
+    before = sorted(os.listdir(path))
+    bad = spark.range(200).repartition(4).select(F.when(F.col("id") == 133, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"), F.lit(None).cast("binary").alias("geom"))
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception):
+            bad.write.format("gpkg").mode(mode).save(path)
+        assert sorted(os.listdir(path)) == before and spark.read.format("gpkg").load(path).count() == 1
+    good.coalesce(1).write.format("gpkg").mode("append").save(path)
+    assert spark.read.format("gpkg").load(path).count() == 2 and len(os.listdir(path)) == 3
+    good.coalesce(1).write.format("gpkg").mode("overwrite").save(path)
+    assert spark.read.format("gpkg").load(path).count() == 1 and len(os.listdir(path)) == 2
+    os.remove(f"{path}/{geopackage.MANIFEST}")  # a folder from elsewhere
+    assert spark.read.format("gpkg").load(path).count() == 1
