@@ -51,6 +51,35 @@ _TOTALS = """,
         SELECT (SELECT (sum((n = 1)::INT) - sum((n = 3)::INT) - 2 * sum(diagonal::INT)) // 4 FROM quads)::BIGINT AS outer_less_holes, (SELECT count(*) FROM d) AS area, count(*) AS points, sum(row)::BIGINT AS rows, sum(col)::BIGINT AS cols FROM pts"""
 
 
+def _contours(rounds: int = 20, least: int = 5) -> str:
+    """Borders of d, point by point, without straight runs. Each round joins the pointers with themselves, for rings of up to 2^rounds sides."""
+
+    def doubled(name: str, first: str, more: str) -> str:
+        out = f", {name}0 AS MATERIALIZED ({first})"
+        for k in range(rounds):
+            out += f", {name}{k + 1} AS MATERIALIZED (SELECT a.id, b.ptr, {more} FROM {name}{k} a JOIN {name}{k} b ON b.id = a.ptr)"
+        return out
+
+    return (
+        """, s1 AS (SELECT d.*, s.* FROM d, (VALUES (0, -1, 0, 0, 1), (1, 0, 1, 1, 0), (2, 1, 0, 0, -1), (3, 0, -1, -1, 0)) AS s(way, ny, nx, hy, hx)),
+        s2 AS MATERIALIZED (SELECT s1.*, row_number() OVER (ORDER BY s1.row, s1.col, way) AS id FROM s1 ANTI JOIN d ON d.row = s1.row + ny AND d.col = s1.col + nx),
+        s3 AS (SELECT s2.*, a.row IS NOT NULL AS l, b.row IS NOT NULL AS f FROM s2 LEFT JOIN d a ON a.row = s2.row + ny + hy AND a.col = s2.col + nx + hx LEFT JOIN d b ON b.row = s2.row + hy AND b.col = s2.col + hx),
+        fol AS MATERIALIZED (SELECT s3.id, s2.id AS nxt FROM s3 JOIN s2 ON s2.row = s3.row + CASE WHEN l THEN s3.ny + s3.hy WHEN f THEN s3.hy ELSE 0 END AND s2.col = s3.col + CASE WHEN l THEN s3.nx + s3.hx WHEN f THEN s3.hx ELSE 0 END
+            AND s2.way = (s3.way + CASE WHEN l THEN 3 WHEN f THEN 0 ELSE 1 END) % 4)"""
+        + doubled("mn", "SELECT id, nxt AS ptr, id AS low FROM fol", "least(a.low, b.low) AS low")
+        + doubled("ds", f"SELECT fol.id, CASE WHEN nxt = low THEN fol.id ELSE nxt END AS ptr, (nxt <> low)::BIGINT AS dist FROM fol JOIN mn{rounds} m ON m.id = fol.id", "a.dist + CASE WHEN a.ptr = a.id THEN 0 ELSE b.dist END AS dist")
+        + f""", o1 AS (SELECT low, s2.row, s2.col, way, max(dist) OVER (PARTITION BY low) - dist AS pos FROM s2 JOIN mn{rounds} m ON m.id = s2.id JOIN ds{rounds} e ON e.id = s2.id),
+        ar AS (SELECT low, sum(CASE way WHEN 1 THEN col + 1 WHEN 3 THEN -col ELSE 0 END) < 0 AS hole, arg_min(row || ' ' || col || ' ' || way, pos) AS border FROM o1 GROUP BY 1),
+        o2 AS (SELECT *, coalesce(lag(row) OVER w <> row OR lag(col) OVER w <> col, true) AS begins, first_value(row) OVER w AS fr, first_value(col) OVER w AS fc FROM o1 WINDOW w AS (PARTITION BY low ORDER BY pos)),
+        o3 AS (SELECT *, count(*) OVER (PARTITION BY low) AS runs, row_number() OVER (PARTITION BY low ORDER BY pos) AS run FROM o2 WHERE begins),
+        o4 AS (SELECT low, row, col, pos FROM o3 WHERE runs = 1 OR run < runs OR row <> fr OR col <> fc),
+        o5 AS (SELECT *, count(*) OVER (PARTITION BY low) AS n, coalesce(lag(row) OVER w, last_value(row) OVER v) AS pr, coalesce(lag(col) OVER w, last_value(col) OVER v) AS pc, coalesce(lead(row) OVER w, first_value(row) OVER w) AS nr, coalesce(lead(col) OVER w, first_value(col) OVER w) AS nc
+            FROM o4 WINDOW w AS (PARTITION BY low ORDER BY pos), v AS (PARTITION BY low ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+        o6 AS (SELECT low, row, col, row_number() OVER (PARTITION BY low ORDER BY pos) - 1 AS seq, count(*) OVER (PARTITION BY low) AS n FROM o5 WHERE n = 1 OR row - pr <> nr - row OR col - pc <> nc - col)
+        SELECT border, hole, seq, col + 0.5::DOUBLE AS x, row + 0.5::DOUBLE AS y FROM o6 JOIN ar ON ar.low = o6.low WHERE n >= {least}"""
+    )
+
+
 def _downscaled(ratio: float, n: int) -> str:
     return f"""SELECT {ratio}::DOUBLE AS ratio, vec_id, y{n}.i AS row, x{n}.j AS col, round(sum(y{n}.w * x{n}.w * embedding[y{n}.k * 8 + x{n}.k + 1]::DOUBLE), 6) AS value, 0.25::DOUBLE * 8 / {n} AS out_px FROM embeddings, y{n}, x{n} GROUP BY 1, 2, 3, 4"""
 
@@ -69,6 +98,7 @@ SQL: dict[str, str] = {
     "q_border_totals": with_views("e", _mask(0.5625, "d") + _TOTALS),
     "q_thinned_pixels": with_views("e", _mask(2.25, "d0") + _thinned("d0", "d") + " SELECT row, col FROM d"),
     "q_contour_totals": with_views("e", _mask(2.25, "d0") + _thinned("d0", "d") + _TOTALS),
+    "q_border_contours": with_views("e", _mask(2.25, "d0") + _thinned("d0", "d") + _contours()),
     "q_scaler_sampled": with_views("v", """, h AS (SELECT i % 4 AS band, value, row_number() OVER (PARTITION BY i % 4 ORDER BY ('0x' || left(md5(vec_id || ':' || i), 15))::BIGINT) AS place FROM v)
         SELECT band, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM h WHERE place <= 1000 GROUP BY 1"""),
 }
