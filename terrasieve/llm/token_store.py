@@ -38,7 +38,7 @@ from terrasieve.llm.word_tokens import word_encoder
 from terrasieve.llm.worker_memory import slices
 
 #: Chunks hold so many ids at least, on average over it, and at most. The window is shorter than the least chunk.
-LEAST, MEAN_BITS, MOST, WINDOW = 256, 9, 4096, 16
+LEAST, MEAN_BITS, MOST, WINDOW = 256, 9, 4096, 16  # the window is a power of two
 BLOCK_DOCS = 1024
 #: Random 32-bit values of ids for the rolling hash.
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
@@ -49,10 +49,10 @@ def cuts(ids: np.ndarray) -> list[int]:
     n = len(ids)
     if n <= LEAST:
         return [n] if n else []
-    g = _GEAR[ids.astype(np.uint32) & 0xFFFF]
-    h = g.copy()
-    for j in range(1, WINDOW):
-        h[j:] += g[:-j] << np.uint32(j)
+    h, span = _GEAR[ids.astype(np.uint32) & 0xFFFF], 1
+    while span < WINDOW:  # a window of twice the span is two of them, the earlier one shifted
+        h[span:] += h[:-span] << np.uint32(span)
+        span *= 2
     marks = np.flatnonzero(h >> np.uint32(32 - MEAN_BITS) == 0) + 1
     ends, at, k = [], 0, 0
     while n - at > LEAST:
