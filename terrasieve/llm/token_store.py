@@ -40,6 +40,8 @@ from terrasieve.llm.worker_memory import slices
 #: Chunks hold so many ids at least, on average over it, and at most. The window is shorter than the least chunk.
 LEAST, MEAN_BITS, MOST, WINDOW = 256, 9, 4096, 16  # the window is a power of two
 BLOCK_DOCS = 1024
+#: Words that a worker remembers, about 120 MB.
+WORDS = 1_500_000
 #: Random 32-bit values of ids for the rolling hash.
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
 
@@ -116,7 +118,7 @@ def _encode(tokenizer: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, row = word_encoder(tokenizer), TaskContext.get().partitionId() << 36
+        encoder, row = word_encoder(tokenizer, WORDS), TaskContext.get().partitionId() << 36
         tail = np.array([] if end_id is None else [end_id], dtype=encoder.dtype)
         for batch in batches:
             for part in slices(batch):

@@ -16,8 +16,9 @@ import numpy as np
 from terrasieve.llm.byte_runs import CLASS, DIGIT, LETTER, LOWER, MARK, ODD, SPACE, WordTable, joined, keys
 from terrasieve.llm.worker_memory import one_of
 
-#: Words, and ids of words, that a worker remembers, about 40 MB; beyond either it starts anew. Longer pieces aren't remembered.
-CACHED_WORDS, CACHED_IDS, CACHED_LENGTH = 500_000, 4_000_000, 64
+#: Words that a worker remembers unless it is told another number, about 40 MB, and ids for each; beyond either it starts anew. Longer pieces
+#: aren't remembered.
+CACHED_WORDS, CACHED_IDS, CACHED_LENGTH = 500_000, 8, 64
 #: Words that the library encodes in one call.
 RUN = 64
 #: Fixed value: the pattern by which the vocabulary splits lower-case text. WordEncoder.split does the same.
@@ -40,7 +41,8 @@ def _words_alone(spec: dict) -> dict | None:
 
 
 class WordEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHED_WORDS):
+        self.most = words
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -130,7 +132,7 @@ class WordEncoder:
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin and the last one's end."""
-        if self.known > CACHED_WORDS or self.used > CACHED_IDS:
+        if self.known > self.most or self.used > CACHED_IDS * self.most:
             self._forget()
         raw, text_starts = joined(texts)
         buffer, starts, ends, odd = self.split(raw)
@@ -178,6 +180,6 @@ class WordEncoder:
         return [ids[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process."""
-    return one_of(("word_encoder", path), lambda: WordEncoder(path))
+def word_encoder(path: str, words: int = CACHED_WORDS) -> WordEncoder:
+    """One encoder for each worker process, which remembers so many words."""
+    return one_of(("word_encoder", path, words), lambda: WordEncoder(path, words))
