@@ -80,7 +80,9 @@ def early_stop(history: DataFrame, patience: int, run: str = "run_id", epoch: st
     d = d.withColumn("_here", F.max(F.when(F.col("is_best"), F.col("_i"))).over(inside.rowsBetween(Window.unboundedPreceding, 0))).drop("_run1", "_part1", "_start", "_least")
     last = d.groupBy("_run", "_part").agg(F.max("_here").alias("last"))
     last = named(last.select("_run", "_part", F.max("last").over(ranges).alias("_last")), 2)
-    d = d.join(last, on(2)).withColumn("bad", F.col("_i") - F.greatest("_last", "_here")).drop("_run2", "_part2", "_last")
+    d = d.join(last, on(2)).withColumn("bad", F.col("_i") - F.greatest("_last", "_here")).drop("_run2", "_part2", "_last", "_here", "_mix")
+    d = stage(d, "stop-bad")
+    drop(dealt)
     stops = d.filter(F.col("bad") >= patience).groupBy(F.col("_run").alias("_run3")).agg(F.min("_i").alias("_stop"))
     kept = d.join(stops, F.col("_run").eqNullSafe(F.col("_run3")), "left").filter(F.col("_stop").isNull() | (F.col("_i") <= F.col("_stop")))
     return kept.select(*history.columns, "is_best", "bad")
