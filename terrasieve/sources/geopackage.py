@@ -15,6 +15,7 @@ Column names of SQLite ignore case. A null geometry stays null. Types: whole num
 
 from __future__ import annotations
 
+import contextlib
 import json
 import os
 import sqlite3
@@ -244,6 +245,12 @@ class Writer(DataSourceArrowWriter):
         self.columns = [(f.name, _declared(f.dataType)) for f in schema]
         self.path, self.overwrite, self.layer, self.geometry, self.srs = _local(path), overwrite, layer, geometry, srs
         self.run = uuid.uuid4().hex
+        os.makedirs(self.path, exist_ok=True)
+        open(self._token(self.run), "w").close()
+
+    def _token(self, run: str) -> str:
+        """A file that is there while a write goes on."""
+        return os.path.join(self.path, f"_{run}.run")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         os.makedirs(self.path, exist_ok=True)
@@ -254,6 +261,9 @@ class Writer(DataSourceArrowWriter):
             if os.path.exists(hidden):
                 os.remove(hidden)
             raise
+        if not os.path.exists(self._token(self.run)):  # given up while this task was at work
+            os.remove(hidden)
+            raise RuntimeError("the write has failed")
         return Written(os.path.basename(hidden))
 
     def _fill(self, hidden: str, batches: Iterator[pa.RecordBatch]) -> None:
@@ -287,10 +297,14 @@ class Writer(DataSourceArrowWriter):
         db.close()
 
     def _swept(self, kept: set[str]) -> None:
-        """What this write's tasks left besides the files that count."""
-        for name in os.listdir(self.path) if os.path.isdir(self.path) else []:
-            if name.startswith(f"_{self.run}-") or (name.startswith("part-") and self.run in name and name not in kept):
-                os.remove(os.path.join(self.path, name))
+        """End this write. What its tasks, and those of writes that are over, left besides the files that count goes."""
+        with contextlib.suppress(FileNotFoundError):
+            os.remove(self._token(self.run))
+        for name in os.listdir(self.path):
+            dead = name.startswith("_") and name.endswith(".tmp") and not os.path.exists(self._token(name[1:].partition("-")[0]))
+            if dead or (name.startswith("part-") and self.run in name and name not in kept):
+                with contextlib.suppress(FileNotFoundError):
+                    os.remove(os.path.join(self.path, name))
 
     def commit(self, messages: list[Written | None]) -> None:
         os.makedirs(self.path, exist_ok=True)

@@ -2,6 +2,7 @@
 
 import os
 import struct
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +125,10 @@ def test_geopackage_writes_whole_or_not(spark, tmp_path):
     for mode in ("append", "overwrite"):
         with pytest.raises(Exception):
             bad.write.format("gpkg").mode(mode).save(path)
+        for _ in range(20):  # tasks that were still at work find out when they end
+            if sorted(os.listdir(path)) == before:
+                break
+            time.sleep(0.5)
         assert sorted(os.listdir(path)) == before and spark.read.format("gpkg").load(path).count() == 1
     good.coalesce(1).write.format("gpkg").mode("append").save(path)
     assert spark.read.format("gpkg").load(path).count() == 2 and len(os.listdir(path)) == 3
