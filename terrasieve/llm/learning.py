@@ -35,11 +35,16 @@ def stratified(rows: DataFrame, label: str, counts: dict, most: int, *by: str) -
     return mixed.withColumn("_n", first).filter(F.col("_n") <= most).drop("_h", "_n")
 
 
+def labelled_ids(labels: DataFrame, label: str, mod: int, remainder: int) -> DataFrame:
+    """(doc_id, label 0 or 1) of all rows that aren't held out; an id with both has 1."""
+    picked = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col(label).isin(0, 1) & ~held_out(mod, remainder))
+    return picked.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, mod: int, remainder: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, label, text) of a sample of labelled rows that aren't held out: `most` ids of each label, with one text each, of several the
     least. The sample's ids are broadcast: 2 * most."""
-    picked = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col(label).isin(0, 1) & ~held_out(mod, remainder))
-    picked = picked.groupBy("doc_id").agg(F.max("label").alias("label"))
+    picked = labelled_ids(labels, label, mod, remainder)
     picked = stratified(picked, "label", label_counts(picked, "label"), most, "doc_id")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return stage(texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")), "labelled")
