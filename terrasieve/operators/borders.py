@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrasieve.functions.staging import stage
+from terrasieve.functions.staging import counted, stage
 from terrasieve.operators.chains import list_ranks
 
 #: Ways out of a pixel, clockwise from above: each is a side's outward way, and the next one its heading.
@@ -100,21 +100,23 @@ def border_points(pixels: DataFrame, size: int = 2048, straight: bool = True) ->
     stays; outer borders run clockwise, holes the other way, rows counted downwards. straight=False leaves points inside of straight runs out,
     level, upright or diagonal ones; n and seq count what stays. The same rows for any size.
 
-    Windows see a row a part; a part's points stay in its arrays until all is counted."""
+    Windows see a row a part; a part's points stay in its arrays until all is counted. Sides of joins have a row a part at most, and are
+    broadcast or not by the number of parts."""
     spot = lambda i: F.struct(F.element_at("rows", i).alias("r"), F.element_at("cols", i).alias("c"))
     parts = stage(border_parts(pixels, size).withColumn("node", F.monotonically_increasing_id()), "border-parts")
+    n_parts = parts.count()
     short = parts.select("node", "head", "after", "least", "at", "area", spot(1).alias("first"), spot(-1).alias("last"))
     whole = short.filter("after is null").select("node", F.col("least").alias("ring"), "at", "area", "first", "last", F.lit(0).cast("long").alias("rank"))
     cut = short.filter("after is not null")
     heads = cut.select(F.col("head").alias("_h"), F.col("node").alias("next"))
-    ranks = list_ranks(cut.join(heads, F.col("after") == F.col("_h")).select("node", "next", F.col("least").alias("place")))
-    ranked = cut.select("node", "at", "area", "first", "last").join(ranks.select("node", F.col("first").alias("ring"), F.col("seq").alias("rank")), "node")
+    ranks = list_ranks(cut.join(counted(heads, n_parts), F.col("after") == F.col("_h")).select("node", "next", F.col("least").alias("place")))
+    ranked = cut.select("node", "at", "area", "first", "last").join(counted(ranks.select("node", F.col("first").alias("ring"), F.col("seq").alias("rank")), n_parts), "node")
     placed = whole.unionByName(ranked)
     order = Window.partitionBy("ring").orderBy("rank")  # a row a part
     rings = placed.groupBy(F.col("ring").alias("_r")).agg(F.sum("area").alias("whole_area"), F.max_by("last", "rank").alias("end"), F.min_by("first", "rank").alias("begin"))
-    around = placed.withColumns({"before": F.lag("last").over(order), "next": F.lead("first").over(order)}).join(rings, F.col("ring") == F.col("_r"))
+    around = placed.withColumns({"before": F.lag("last").over(order), "next": F.lead("first").over(order)}).join(counted(rings, n_parts), F.col("ring") == F.col("_r"))
     around = around.select("node", "ring", "rank", "at", "whole_area", F.coalesce("before", "end").alias("before"), F.coalesce("next", "begin").alias("next"))
-    joined = parts.select("node", "rows", "cols").join(around, "node")
+    joined = parts.select("node", "rows", "cols").join(counted(around, n_parts), "node")
     inside = F.sequence(F.lit(0), F.size("rows") - 1)
     if not straight:
         long = {c: F.concat(F.array(f"before.{k}"), c, F.array(f"next.{k}")) for c, k in (("rows", "r"), ("cols", "c"))}
@@ -129,8 +131,8 @@ def border_points(pixels: DataFrame, size: int = 2048, straight: bool = True) ->
     counts = kept.select("node", "ring", "rank", "points", "skipped")
     base = F.coalesce(F.sum("points").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = counts.groupBy(F.col("ring").alias("_r")).agg(F.sum("points").alias("n"), F.min_by("skipped", "rank").alias("start"))
-    counts = counts.select("node", "ring", base.alias("base")).join(sums, F.col("ring") == F.col("_r")).drop("ring", "_r")
-    rows = kept.select("node", "ring", F.col("whole_area").alias("area"), F.posexplode(F.arrays_zip("rows", "cols")).alias("i", "p")).join(counts, "node")
+    counts = counts.select("node", "ring", base.alias("base")).join(counted(sums, n_parts), F.col("ring") == F.col("_r")).drop("ring", "_r")
+    rows = kept.select("node", "ring", F.col("whole_area").alias("area"), F.posexplode(F.arrays_zip("rows", "cols")).alias("i", "p")).join(counted(counts, n_parts), "node")
     seq = F.pmod(F.col("base") + F.col("i") - F.col("start"), F.col("n"))
     return rows.select(F.concat_ws(" ", "ring.r", "ring.c", "ring.d").alias("border"), (F.col("area") < 0).alias("hole"), "area", "n", seq.cast("long").alias("seq"), F.col("p.rows").alias("row"), F.col("p.cols").alias("col"))
 

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasieve.functions.staging import drop, stage
+from terrasieve.functions.staging import counted, drop, stage
 
 
 def _doubled(state: DataFrame) -> DataFrame:
     """state (node, place, to, dist, least, last) with pointers as far on as lists go: last is the place of a list's end, null for rings' nodes,
     whose least is that of the whole ring. Staged; state goes."""
-    reach, before = 1, None
+    reach, before, n = 1, None, state.count()
     while True:
         left = state.filter("last is null").count()
         # a list's nodes come to its end in every round until all have; what then is left lies on rings, none longer than that
@@ -24,7 +24,7 @@ def _doubled(state: DataFrame) -> DataFrame:
             return state
         before = left
         ahead = state.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("dist").alias("_d"), F.col("least").alias("_l"), F.col("last").alias("_e"))
-        moved = state.filter("last is null").join(ahead, F.col("to") == F.col("_n"))
+        moved = state.filter("last is null").join(counted(ahead, n), F.col("to") == F.col("_n"))
         moved = moved.select("node", "place", F.col("_to").alias("to"), (F.col("dist") + F.col("_d")).alias("dist"), F.least("least", "_l").alias("least"), F.col("_e").alias("last"))
         after = stage(state.filter("last is not null").unionByName(moved), "ranks")
         drop(state)
@@ -34,22 +34,25 @@ def _doubled(state: DataFrame) -> DataFrame:
 def list_ranks(nodes: DataFrame) -> DataFrame:
     """nodes (node long, next long or null, place: unique and of any type that has an order) as node, place, first, last (places of the list's
     first and last node) and seq (from 0). A ring begins at its least place. A next that isn't a node raises no error: the list ends there."""
+    nodes = stage(nodes, "nodes")
+    n = nodes.count()
     known = nodes.select(F.col("node").alias("_k"))
-    held = nodes.join(known, F.col("next") == F.col("_k"), "left")
+    held = nodes.join(counted(known, n), F.col("next") == F.col("_k"), "left")
     ends = F.col("_k").isNull()
     begun = held.select("node", "place", F.coalesce("_k", "node").alias("to"), F.when(ends, 0).otherwise(1).cast("long").alias("dist"), F.col("place").alias("least"), F.when(ends, F.col("place")).alias("last"))
     lists = _doubled(stage(begun, "ranks"))
     rings = lists.filter("last is null").select("node", "place", F.col("least").alias("head"))
-    rings = stage(rings.join(nodes.select("node", "next"), "node"), "rings")
+    rings = stage(rings.join(counted(nodes.select("node", "next"), n), "node"), "rings")
+    drop(nodes)
     after = rings.select(F.col("node").alias("_n"), F.col("place").alias("_p"))
-    cut = rings.join(after, F.col("next") == F.col("_n"))
+    cut = rings.join(counted(after, n), F.col("next") == F.col("_n"))
     ends = F.col("_p") == F.col("head")
     opened = cut.select("node", "place", F.when(ends, F.col("node")).otherwise(F.col("next")).alias("to"), F.when(ends, 0).otherwise(1).cast("long").alias("dist"), F.col("place").alias("least"), F.when(ends, F.col("place")).alias("last"))
     opened = _doubled(stage(opened, "ranks"))
     drop(rings)
     ranks = lists.filter("last is not null").unionByName(opened).select("node", "place", "dist", "last")
     whole = ranks.groupBy("last").agg(F.max("dist").alias("n"), F.max_by("place", "dist").alias("first"))
-    return ranks.join(whole.withColumnRenamed("last", "_last"), F.col("last") == F.col("_last")).select("node", "place", "first", "last", (F.col("n") - F.col("dist")).alias("seq"))
+    return ranks.join(counted(whole.withColumnRenamed("last", "_last"), n), F.col("last") == F.col("_last")).select("node", "place", "first", "last", (F.col("n") - F.col("dist")).alias("seq"))
 
 
 def chained(edges: DataFrame, key: str) -> DataFrame:
@@ -65,7 +68,7 @@ def chained(edges: DataFrame, key: str) -> DataFrame:
     met = arcs.groupBy(key, "v").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("i"), F.max("node").alias("j")).filter("n = 2")
     turned = lambda c: F.col(c).bitwiseXOR(F.lit(1))
     on = met.select(F.explode(F.array(F.struct(F.col("i").alias("node"), turned("j").alias("next")), F.struct(F.col("j").alias("node"), turned("i").alias("next")))).alias("s")).select("s.*")
-    placed = arcs.withColumn("place", F.struct(key, "u", "v")).join(on.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+    placed = arcs.withColumn("place", F.struct(key, "u", "v")).join(counted(on.withColumnRenamed("node", "_n"), 2 * e.count()), F.col("node") == F.col("_n"), "left")
     ranks = list_ranks(placed.select("node", "next", "place"))
     # each line was ranked both ways: the way whose first edge is the lesser one stays
     other = F.struct(F.col(f"last.{key}").alias(key), F.col("last.v").alias("u"), F.col("last.u").alias("v"))

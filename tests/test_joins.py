@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from terrasieve.functions import staging as S
 from terrasieve.operators import lines as L
+from terrasieve.operators.borders import border_points
+from terrasieve.operators.chains import list_ranks
 from terrasieve.plans import fixtures as V
 
 
@@ -44,3 +47,28 @@ def test_chips_tell_their_number(spark, packed):
 def test_chips_of_no_parts(spark, tmp_path):
     spark.range(0).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
     assert V.chips(spark, str(tmp_path)).count() == 0
+
+
+def test_counted_sides(spark, monkeypatch):
+    rows = spark.range(4).select("id", F.struct("id", F.lit("x").alias("t")).alias("s"))
+    width = 24 + 8 + 24 + 8 + 64
+    assert S.row_bytes(rows.schema) == width
+    monkeypatch.setattr(S, "BROADCAST_MB", width / 1000)
+    for side, hint in ((S.counted(rows, 1000), "broadcast"), (S.counted(rows, 1001), "merge")):
+        assert f"strategy={hint}" in side._jdf.queryExecution().analyzed().toString()
+
+
+def test_lists_beyond_the_bound_are_ranked_by_shuffles(spark, monkeypatch):
+    nodes = spark.range(50).select(F.col("id").alias("node"), F.when(F.col("id") % 10 < 9, F.col("id") + 1).alias("next"), F.col("id").alias("place"))
+    monkeypatch.setattr(S, "BROADCAST_MB", 0.0)
+    ranks = list_ranks(nodes)
+    assert "BroadcastExchange" not in plan(ranks)
+    assert sorted(r[:] for r in ranks.collect()) == [(i, i, i // 10 * 10, i // 10 * 10 + 9, i % 10) for i in range(50)]
+
+
+def test_borders_beyond_the_bound_are_counted_by_shuffles(spark, monkeypatch):
+    pixels = spark.range(9).select((3 * F.expr("id div 3")).alias("row"), (3 * (F.col("id") % 3)).alias("col"))
+    monkeypatch.setattr(S, "BROADCAST_MB", 0.0)
+    points = border_points(pixels, 4)
+    assert "BroadcastExchange" not in plan(points)
+    assert points.agg(F.count(F.lit(1)), F.sum("area"), F.max("seq"), F.max("n")).first()[:] == (9, 9, 0, 1)
