@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrasieve.functions.staging import counted, shuffled
+
 #: Images of a block that are laid over each other by one task at most, before what comes of them is.
 PILE = 1024
 
@@ -164,44 +166,64 @@ def axis_weights(first: int, n: int, offset: float, step: float, low: int, count
     return out
 
 
-def sampled(blocks: DataFrame, targets: DataFrame, block: int = 256, fill: float | None = 0.0, tile: int = 256) -> DataFrame:
+def sampled(blocks: DataFrame, targets: DataFrame, block: int = 256, fill: float | None = 0.0, tile: int = 256, most: int | None = None) -> DataFrame:
     """targets (key long, layer, r_off, c_off, r_step, c_step, rows, cols, src_rows, src_cols) sampled from blocks by axis_weights: key, row0, col0,
     rows, cols, values: tiles of the output. Offsets and steps are in source pixels; src_rows and src_cols are the source's size, or null where
     it has no bounds. What has no value, in the source or beyond it, counts as fill by its weight; with fill None the rest is scaled up instead,
-    and NaN stands where there is none.
+    and NaN stands where there is none. most: how many blocks there are at most, where that is known.
 
-    Every tile lists the blocks that it reaches and is joined with them; each pair gives its share of the tile, and shares are added up."""
+    Every tile lists the blocks that it reaches and is joined with them. Of a block only the rows that the tile reaches leave the join; each pair
+    gives its share of the part of the tile that it touches, and shares are added up."""
     cut = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(c) - 1) / tile)))
     t = targets.filter("rows > 0 and cols > 0").select("*", cut("rows").alias("trow")).select("*", cut("cols").alias("tcol"))
     t = t.withColumns({"row0": F.col("trow") * tile, "col0": F.col("tcol") * tile})
     t = t.withColumns({"n": F.least(F.lit(tile), F.col("rows") - F.col("row0")), "m": F.least(F.lit(tile), F.col("cols") - F.col("col0"))})
 
-    def reached(off: str, step: str, start: str, n: str) -> Column:
+    def ends(off: str, step: str, start: str, n: str) -> tuple[Column, Column]:
         reach = F.greatest(F.lit(1.0), F.col(step)) + 1
-        low, high = F.col(off) + F.col(start) * F.col(step) - reach, F.col(off) + (F.col(start) + F.col(n)) * F.col(step) + reach
-        return F.explode(F.sequence(F.floor(low / block), F.floor(high / block)))
+        return F.floor(F.col(off) + F.col(start) * F.col(step) - reach), F.floor(F.col(off) + (F.col(start) + F.col(n)) * F.col(step) + reach)
 
-    t = t.select("*", reached("r_off", "r_step", "row0", "n").alias("_br")).select("*", reached("c_off", "c_step", "col0", "m").alias("_bc"))
+    for c, of in (("r", ("r_off", "r_step", "row0", "n")), ("c", ("c_off", "c_step", "col0", "m"))):
+        t = t.withColumns(dict(zip((f"_{c}0", f"_{c}1"), ends(*of), strict=True)))
+        t = t.select("*", F.explode(F.sequence(F.floor(F.col(f"_{c}0") / block), F.floor(F.col(f"_{c}1") / block))).alias(f"_b{c}"))
     b = blocks.select(F.col("layer").alias("_layer"), "brow", "bcol", "values")
+    b = shuffled(b) if most is None else counted(b, most, 8 * block * block)
     pairs = t.join(b, (F.col("layer") == F.col("_layer")) & (F.col("_br") == F.col("brow")) & (F.col("_bc") == F.col("bcol")))
-    base = t.dropDuplicates(["key", "row0", "col0"]).select("key", "row0", "col0", "n", "m")  # tiles that reach no block get fill
-    named = pairs.select("key", "row0", "col0", "n", "m", "r_off", "r_step", "c_off", "c_step", F.col("src_rows").cast("long").alias("sr"), F.col("src_cols").cast("long").alias("sc"), "brow", "bcol", "values")
-    both = named.unionByName(base, allowMissingColumns=True)
+    first, last = ([f(F.lit(e), F.col(f"_{c}{i}") - F.col(k) * block).cast("int") for c, k in (("r", "brow"), ("c", "bcol"))] for f, e, i in ((F.greatest, 0, 0), (F.least, block - 1, 1)))
+    band = F.slice("values", first[0] * block + 1, (last[0] - first[0] + 1) * block)
+    about = ("key", "row0", "col0", "n", "m")
+    named = pairs.select(*about, "r_off", "r_step", "c_off", "c_step", F.col("src_rows").cast("long").alias("sr"), F.col("src_cols").cast("long").alias("sc"), "brow", "bcol", first[0].alias("r0"), first[1].alias("c0"), last[1].alias("c1"), band.alias("values"))
+
+    def share(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for key, row0, col0, n, m, r_off, r_step, c_off, c_step, sr, sc, brow, bcol, r0, c0, c1, values in rows:
+            v = values.reshape(-1, block)[:, c0 : c1 + 1]
+            there = ~np.isnan(v)
+            y = axis_weights(row0, n, r_off, r_step, brow * block + r0, len(v), sr)
+            x = axis_weights(col0, m, c_off, c_step, bcol * block + c0, c1 + 1 - c0, sc).T
+            own_r, own_c = np.flatnonzero(y.any(axis=1)), np.flatnonzero(x.any(axis=0))
+            if len(own_r) and len(own_c):
+                i, j = own_r[0], own_c[0]
+                y, x = y[i : own_r[-1] + 1], x[:, j : own_c[-1] + 1]
+                yield key, row0, col0, n, m, brow, bcol, int(i), int(j), len(y), (y @ np.where(there, v, 0.0) @ x).ravel(), (y @ there.astype(float) @ x).ravel()
+
+    whole = (*about, "brow", "bcol", "i", "j", "k")
+    kinds = dict.fromkeys(whole, pa.int64()) | {"total": _FLOATS, "weight": _FLOATS}
+    shares = named.mapInArrow(lambda p: _batches(share(_rows_of(p)), kinds), ", ".join(f"{c} long" for c in whole) + ", total array<double>, weight array<double>")
+    base = t.dropDuplicates(["key", "row0", "col0"]).select(*[F.col(c).cast("long").alias(c) for c in about])  # tiles that reach no block get fill
+    both = shares.unionByName(base, allowMissingColumns=True)
 
     def add(rows: Iterator[tuple]) -> Iterator[tuple]:
         for (key, row0, col0), held in groupby(rows, key=lambda r: r[:3]):
             total = weight = None
-            for _, _, _, n, m, r_off, r_step, c_off, c_step, sr, sc, brow, bcol, values in held:
+            for _, _, _, n, m, _, _, i, j, k, own, own_weight in held:
                 if total is None:
                     total, weight, rows_, cols_ = np.zeros((n, m)), np.zeros((n, m)), n, m
-                if values is None:
+                if own is None:
                     continue
-                v = values.reshape(block, block)
-                there = ~np.isnan(v)
-                y = axis_weights(row0, n, r_off, r_step, brow * block, block, sr)
-                x = axis_weights(col0, m, c_off, c_step, bcol * block, block, sc).T
-                total += y @ np.where(there, v, 0.0) @ x
-                weight += y @ there.astype(float) @ x
+                own, own_weight = own.reshape(k, -1), own_weight.reshape(k, -1)
+                part = slice(i, i + k), slice(j, j + own.shape[1])
+                total[part] += own
+                weight[part] += own_weight
             if fill is None:
                 with np.errstate(invalid="ignore", divide="ignore"):
                     out = np.where(weight > 1e-12, total / weight, np.nan)
@@ -209,10 +231,9 @@ def sampled(blocks: DataFrame, targets: DataFrame, block: int = 256, fill: float
                 out = total + (1 - weight) * fill
             yield key, row0, col0, rows_, cols_, out.ravel()
 
-    kinds = {"key": pa.int64(), "row0": pa.int64(), "col0": pa.int64(), "rows": pa.int64(), "cols": pa.int64(), "values": _FLOATS}
-    dealt = both.repartition("key", "row0", "col0").sortWithinPartitions("key", "row0", "col0", "brow", "bcol")
-    dealt = dealt.select(*[F.col(c).cast("long").alias(c) for c in ("key", "row0", "col0", "n", "m")], "r_off", "r_step", "c_off", "c_step", "sr", "sc", "brow", "bcol", "values")
-    return dealt.mapInArrow(lambda b: _batches(add(_rows_of(b)), kinds, 8), "key long, row0 long, col0 long, rows long, cols long, values array<double>")
+    found = {"key": pa.int64(), "row0": pa.int64(), "col0": pa.int64(), "rows": pa.int64(), "cols": pa.int64(), "values": _FLOATS}
+    dealt = both.repartition("key", "row0", "col0").sortWithinPartitions("key", "row0", "col0", "brow", "bcol").select(*whole, "total", "weight")
+    return dealt.mapInArrow(lambda p: _batches(add(_rows_of(p)), found, 8), "key long, row0 long, col0 long, rows long, cols long, values array<double>")
 
 
 def window_by_bounds(blocks: DataFrame, grid: Grid, windows: DataFrame, block: int = 256, fill: float = 0.0, tile: int = 256) -> DataFrame:
@@ -225,7 +246,8 @@ def window_by_bounds(blocks: DataFrame, grid: Grid, windows: DataFrame, block: i
         ((c("ymax") - c("ymin")) / F.lit(grid.py) / c("rows")).alias("r_step"), ((c("xmax") - c("xmin")) / F.lit(grid.px) / c("cols")).alias("c_step"),
         c("rows").cast("long").alias("rows"), c("cols").cast("long").alias("cols"), F.lit(None).cast("long").alias("src_rows"), F.lit(None).cast("long").alias("src_cols"),
     )
-    return sampled(blocks, where, block, fill, tile)
+    most = (grid.rows // block + 2) * (grid.cols // block + 2)  # an image's pixels may reach a block beyond the grid's rounded size
+    return sampled(blocks, where, block, fill, tile, most)
 
 
 def downscaled(images: DataFrame, key: str, ratio: float, block: int = 256, tile: int = 256) -> DataFrame:

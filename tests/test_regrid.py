@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terrasieve.operators import regrid as G
 
@@ -110,3 +111,18 @@ def test_empty_mosaic(spark):
         G.finest_grid(frame(spark).limit(0))
     g = G.finest_grid(frame(spark))
     assert G.mosaic_blocks(frame(spark).limit(0), g).count() == 0
+
+
+def test_windows_take_bands_of_blocks(spark):
+    """Of a block only the rows that a window reaches leave the join, and no block is shuffled once a window."""
+    grid = G.Grid(0.0, 512.0, 1.0, 1.0, 512, 512)
+    at = F.sequence(F.lit(0), F.lit(256 * 256 - 1))
+    values = F.transform(at, lambda i: (F.col("bcol") * 256 + i % 256).cast("double"))
+    blocks = spark.range(4).select(F.lit(0).cast("long").alias("layer"), F.expr("id div 2").alias("brow"), (F.col("id") % 2).alias("bcol")).withColumn("values", values)
+    k = F.col("id")
+    windows = spark.range(300).select(k.alias("key"), (k + 100.0).alias("xmin"), (k + 60.0).alias("ymin"), (k + 104.0).alias("xmax"), (k + 63.0).alias("ymax"), F.lit(3).alias("rows"), F.lit(4).alias("cols"))
+    tiles = G.window_by_bounds(blocks, grid, windows)
+    plan = tiles._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(values" in plan[plan.index("RepartitionByExpression") :]
+    got = G.tile_pixels(tiles).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("value") - (F.col("key") + 100 + F.col("col")))).alias("off")).first()
+    assert got.n == 300 * 12 and got.off < 1e-9
